@@ -105,7 +105,7 @@ def polygon_ring(wkt: Column | str) -> Column:
     closed = F.when(F.get(ring, F.lit(0)) == F.element_at(ring, -1), ring).otherwise(
         F.concat(ring, F.slice(ring, 1, 1))
     )
-    return F.when(~F.exists(numbers, lambda x: x.isNull()), closed)
+    return F.when(~F.exists(ring, lambda p: p[0].isNull() | p[1].isNull()), closed)
 
 
 def polygon_feature(ring: Column | str, **properties) -> Column:
