@@ -31,6 +31,16 @@ def column_sets(left: DataFrame, right: DataFrame) -> tuple[list, list, list]:
     )
 
 
+def _row_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Row counts of both tables in one row."""
+    n = F.count(F.lit(1))
+    zero = F.lit(0).cast("long")
+    counts = left.agg(n.alias("left_rows"), zero.alias("right_rows")).unionByName(
+        right.agg(zero.alias("left_rows"), n.alias("right_rows"))
+    )
+    return counts.agg(F.sum("left_rows").alias("left_rows"), F.sum("right_rows").alias("right_rows"))
+
+
 def compare_structure(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: columns shared and not, type differences, shapes, two structure scores.
 
@@ -45,10 +55,7 @@ def compare_structure(left: DataFrame, right: DataFrame) -> DataFrame:
     def names(values: Sequence[str]):
         return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
-    rows = left.agg(F.count(F.lit(1)).alias("left_rows")).join(
-        right.agg(F.count(F.lit(1)).alias("right_rows")), F.lit(True)
-    )
-    return rows.select(
+    return _row_counts(left, right).select(
         names(sorted(both)).alias("common_columns"),
         names(sorted(only_left)).alias("only_left"),
         names(sorted(only_right)).alias("only_right"),
@@ -145,15 +152,10 @@ def compare_overall(left: DataFrame, right: DataFrame, columns: Sequence[str] |
     union = len(both) + len(only_left) + len(only_right)
     structure = len(both) / union * 100 if union else 0.0
     columns = list(columns or both[:OVERLAP_COLUMNS])
-    sides = (
-        left.agg(F.count(F.lit(1)).alias("left_rows"))
-        .join(right.agg(F.count(F.lit(1)).alias("right_rows")), F.lit(True))
-    )
+    sides = _row_counts(left, right)
     if columns:
-        overlap = value_overlap(left, right, columns).agg(
-            F.coalesce(F.avg("overlap_pct"), F.lit(0.0)).alias("_overlap")
-        )
-        sides = sides.join(overlap, F.lit(True))
+        overlap = value_overlap(left, right, columns).agg(F.avg("overlap_pct"))
+        sides = sides.withColumn("_overlap", F.coalesce(overlap.scalar(), F.lit(0.0)))
     else:
         sides = sides.withColumn("_overlap", F.lit(0.0))
     diff = F.abs(F.col("left_rows") - F.col("right_rows"))
