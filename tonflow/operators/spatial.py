@@ -119,3 +119,49 @@ def one_lane_each(
     }[pick]
     chosen = F.min_by(F.struct(*lane_columns, "lane_dist_m"), by).alias("_lane")
     return matches.groupBy(*point_columns).agg(chosen).select(*point_columns, "_lane.*")
+
+
+def lane_index(cells: DataFrame, lane_columns: Sequence[str]) -> DataFrame:
+    """Lane cells folded to one row per grid cell, holding the segments that pass it.
+
+    A cell is about a hundred metres wide, so a row lists the few roads crossing there; its
+    size depends on the road network, never on the number of positions.
+    """
+    segment = F.struct(*lane_columns, "_lat_a", "_lon_a", "_lat_b", "_lon_b")
+    return cells.groupBy("_cx", "_cy").agg(F.collect_set(segment).alias("_lanes"))
+
+
+def with_lane(
+    points: DataFrame,
+    index: DataFrame,
+    lat: str,
+    lon: str,
+    lane_name: str,
+    lane_columns: Sequence[str],
+    tolerance_m: float = LANE_TOLERANCE_M,
+    pick: str = "name",
+    size: float = CELL_DEGREES,
+) -> DataFrame:
+    """Points within the tolerance of a lane, each with one lane; no grouping of points.
+
+    The choice among several lanes happens inside the row, so positions are only shuffled
+    if the index is too large to broadcast.  Works on streams (the index is static).
+    """
+    placed = points.withColumns({"_cx": cell(lon, size), "_cy": cell(lat, size)})
+
+    def measured(s: Column) -> Column:
+        away = geo.segment_distance_m(lat, lon, s["_lat_a"], s["_lon_a"], s["_lat_b"], s["_lon_b"])
+        named, far = s[lane_name].alias("_named"), away.alias("lane_dist_m")
+        rest = [s[c].alias(c) for c in lane_columns]
+        return F.struct(named, far, *rest) if pick == "name" else F.struct(far, named, *rest)
+
+    candidates = F.filter(
+        F.transform("_lanes", measured), lambda s: s["lane_dist_m"] <= tolerance_m
+    )
+    return (
+        placed.join(index, ["_cx", "_cy"])
+        .withColumn("_lane", F.array_min(candidates))
+        .where("_lane IS NOT NULL")
+        .select(*points.columns, *[F.col(f"_lane.{c}").alias(c) for c in lane_columns],
+                F.col("_lane.lane_dist_m").alias("lane_dist_m"))
+    )
