@@ -9,7 +9,7 @@ from tonflow.sources.increments import (
     with_columns_of,
 )
 from tonflow.sources.jdbc import JdbcSource, RetriesExhausted, newer_than, read_with_retry
-from tonflow.sources.session import checkpoint_ready, cut_lineage, session_defaults
+from tonflow.sources.session import checkpoint_ready, cut_lineage, session_defaults, shared_folder
 from tonflow.sources.tables import first_usable, inline_rows, optional_table, resolve, table_exists
 
 __all__ = [
@@ -30,6 +30,7 @@ __all__ = [
     "read_with_retry",
     "resolve",
     "session_defaults",
+    "shared_folder",
     "table_exists",
     "with_columns_of",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,22 @@ def checkpoint_ready(spark: SparkSession) -> bool:
     return False
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """A new path below the checkpoint folder, or None when there is no such folder."""
+    if not checkpoint_ready(spark):
+        return None
+    return f"{spark.sparkContext.getCheckpointDir()}/tonflow-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a table several later plans read; the input if none is possible."""
-    return df.checkpoint(eager=True) if checkpoint_ready(df.sparkSession) else df
+    """Write a table that several later plans read, and go on from the written copy.
+
+    Columnar files, so later plans still prune columns, push filters down and size their
+    joins from real statistics; lost executors cost nothing but a re-read.  Without a
+    shared folder the input is returned and Spark recomputes it where needed.
+    """
+    folder = shared_folder(df.sparkSession)
+    if folder is None:
+        return df
+    df.write.mode("errorifexists").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
