@@ -12,16 +12,12 @@ from tonflow.functions.numbers import col, steady
 from tonflow.settings import DEFAULTS, Settings
 
 # --- Fixed values -----------------------------------------------------------------
-# Layouts tried after Spark's own default parser.  "H" also accepts two digits.
+# Layouts tried after Spark's own default parser.  "H" also takes two digits; brackets are
+# optional parts, which keeps the number of attempts (and the generated code) small.
 TIMESTAMP_LAYOUTS = (
-    "M/d/yy H:mm",
-    "M/d/yy H:mm:ss",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy H:mm:ss",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm:ss.SSSSSSX",
-    "yyyy-MM-dd HH:mm:ss.SSSSSSXXX",
+    "M/d/yy H:mm[:ss]",
+    "M/d/yyyy H:mm[:ss]",
+    "yyyy-MM-dd HH:mm:ss[.SSSSSS][XXX][X]",
 )
 ISO_LAYOUTS = ("yyyy-MM-dd'T'HH:mm:ss[.SSS]", "yyyy-MM-dd HH:mm:ss[.SSS]")
 DAY_NAMES = ("Minggu", "Senin", "Selasa", "Rabu", "Kamis", "Jumat", "Sabtu")

@@ -616,7 +616,9 @@ CTES["queue"] = """
                o.o_orderdate + to_minutes((l_orderkey * 10 + l_linenumber) % 1440) AS start
         FROM lineitem l JOIN orders o ON l_orderkey = o_orderkey
     ), t AS (
-        SELECT *, start + to_minutes(n % 97 - 5) AS gone, start + to_minutes(n % 33) AS antri FROM raw
+        SELECT *, start + to_minutes(n % 97 - 5) AS gone, 
+                  -- Two-digit years are read as 20xx.
+                  start + to_minutes(n % 33) + CASE WHEN year(start + to_minutes(n % 33)) < 2000 THEN INTERVAL 100 YEAR ELSE INTERVAL 0 YEAR END AS antri FROM raw
     ), v AS (
         SELECT CASE WHEN n % 83 <> 0 THEN n END AS assignment_id_value, CASE WHEN n % 71 <> 0 THEN l_suppkey END AS truck_id_value,
                CAST(l_linenumber AS BIGINT) AS lane_id_value, 'LANE ' || l_linenumber AS lane_sb,
@@ -626,7 +628,7 @@ CTES["queue"] = """
                o_orderpriority AS assigned_by, n % 3 = 0 AS is_anomaly_bool,
                CASE WHEN n % 29 = 0 THEN TRUE END AS is_anomaly_queue_lane_bool, start AS created_at_ts,
                CASE WHEN n % 19 <> 0 THEN start WHEN n % 5 <> 0 THEN start END AS vehicle_in_time_ts,
-               CASE WHEN n % 13 <> 0 THEN gone ELSE gone - INTERVAL 8 HOUR + INTERVAL 376713 MICROSECOND END AS vehicle_out_time_ts,
+               CASE WHEN n % 13 <> 0 THEN gone ELSE gone + INTERVAL 376713 MICROSECOND END AS vehicle_out_time_ts,
                antri, start, gone, n
         FROM t
     )
@@ -635,8 +637,8 @@ CTES["queue"] = """
            CASE WHEN antri >= start THEN date_diff('second', start, antri) / 60.0 END AS queue_duration_minutes,
            CASE WHEN vehicle_out_time_ts >= vehicle_in_time_ts
                 THEN (epoch(date_trunc('second', vehicle_out_time_ts)) - epoch(vehicle_in_time_ts)) / 60.0 END AS cp_area_duration_minutes,
-           CASE WHEN n % 5 <> 0 AND gone - INTERVAL 8 HOUR + INTERVAL 376713 MICROSECOND >= start
-                THEN (epoch(date_trunc('second', gone - INTERVAL 8 HOUR)) - epoch(start)) / 60.0 END AS cp_process_duration_minutes,
+           CASE WHEN n % 5 <> 0 AND gone + INTERVAL 376713 MICROSECOND >= start
+                THEN (epoch(gone) - epoch(start)) / 60.0 END AS cp_process_duration_minutes,
            CASE WHEN assignment_id_value IS NULL THEN 'missing_assignment_id' WHEN truck_id_value IS NULL THEN 'missing_truck_id'
                 WHEN vehicle_in_time_ts IS NULL THEN 'missing_vehicle_in_time' WHEN status IS NULL THEN 'missing_status'
                 ELSE 'valid' END AS data_quality_status

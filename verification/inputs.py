@@ -38,8 +38,11 @@ def stamp(c: Column, iso: bool = False) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with second precision and a truck number."""
-    e = table(spark, sf_dir, "events")
+    return events_of(table(spark, sf_dir, "events"))
+
+
+def events_of(e: DataFrame) -> DataFrame:
+    """Events with second precision and a truck number; also for a stream of events."""
     code = pick(CODES, F.col("user_id") % len(CODES))
     return e.withColumns(
         {
@@ -172,7 +175,7 @@ def queue_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         nth(19, F.lit(""), nth(2, dashed, slash)).alias("entrance_time"),
         nth(13, F.lit("\\N"), F.date_format(gone, "yyyy-MM-dd HH:mm:ss")).alias("exit_cp_time"),
         nth(5, F.lit("garbage"), dashed).alias("rfid_cp_time"),
-        F.concat(F.date_format(gone, "yyyy-MM-dd HH:mm:ss"), F.lit(".376713+08")).alias("rfid_cp_out_time"),
+        F.concat(F.date_format(gone + F.make_dt_interval(hours=F.lit(8)), "yyyy-MM-dd HH:mm:ss"), F.lit(".376713+08")).alias("rfid_cp_out_time"),
         dashed.alias("rfid_queue_time"),
         F.date_format(start + minutes((n % 33).cast("int")), "M/d/yy H:mm:ss").alias("exit_antrian_cp_time"),
     )
@@ -225,13 +228,17 @@ def lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return positions_of(table(spark, sf_dir, "events"))
+
+
+def positions_of(e: DataFrame) -> DataFrame:
     """Positions on, beside and off the roads.
 
     Time is folded into one hour so that trucks meet in the same five seconds.
     """
     n = F.col("event_id")
     second = (F.unix_seconds("ts") % 3600).cast("int")
-    return events(spark, sf_dir).select(
+    return events_of(e).select(
         n.alias("id"),
         F.col("user_id").alias("deviceid"),
         (F.lit("2024-01-01 05:30:00").cast("timestamp") + F.make_dt_interval(secs=second)).alias("devicetime"),
@@ -263,7 +270,7 @@ def geofences(spark: SparkSession, sf_dir: str) -> DataFrame:
     lat, lon = (-3.5 + key * 0.01), (115.0 + key * 0.01)
     corner = lambda a, b: F.concat_ws(" ", F.round(lat + a, 3).cast("string"), F.round(lon + b, 3).cast("string"))
     area = F.concat(F.lit("POLYGON (("), corner(0.0, 0.0), F.lit(", "), corner(0.0, 0.005), F.lit(", "))
-    rest = F.concat(corner(0.005, 0.005), F.when(key == 4, F.lit(" x")).otherwise(F.lit("")))
+    rest = F.concat(corner(0.005, 0.005), F.when(key == 4, F.lit(" x y")).otherwise(F.lit("")))
     return table(spark, sf_dir, "region").select(
         key.cast("long").alias("id"),
         F.concat(F.lit("KM "), (key * 1.5).cast("string"), F.lit(" "), F.col("r_name")).alias("name"),
@@ -274,10 +281,14 @@ def geofences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def closings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return closings_of(table(spark, sf_dir, "events"))
+
+
+def closings_of(e: DataFrame) -> DataFrame:
     """Closing transactions, one per event."""
     n, local = F.col("event_id"), F.col("ts") + F.make_dt_interval(hours=F.lit(8))
     speed = F.round(F.col("value") % 16, 2)
-    return events(spark, sf_dir).select(
+    return events_of(e).select(
         n.alias("id"),
         F.col("unit").alias("truck"),
         every(40, F.lit(None).cast("string"), F.lower(F.substring("unit", 1, 3))).alias("code"),
@@ -314,10 +325,14 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spacing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spacing_rows_of(table(spark, sf_dir, "events"))
+
+
+def spacing_rows_of(e: DataFrame) -> DataFrame:
     """Ready-made spacing rows, one per event."""
     n = F.col("event_id")
     km = F.concat(F.lit("KM "), (n % 20 / 2.0).cast("string"), F.lit(" north"))
-    return events(spark, sf_dir).select(
+    return events_of(e).select(
         every(90, F.lit(None).cast("timestamp"), F.col("ts")).alias("devicetime"),
         every(4, "Gate", km).alias("geofence_name"),
         F.substring("unit", 1, 3).alias("grup_truk"),
