@@ -175,7 +175,7 @@ def latest_positions(spark, d):
 
 _CORNER = {
     "square": """
-        SELECT r_regionkey AS id, 'KM ' || CAST(r_regionkey * 1.5::DOUBLE AS VARCHAR) || ' ' || r_name AS name,
+        SELECT CAST(r_regionkey AS BIGINT) AS id, 'KM ' || CAST(r_regionkey * 1.5::DOUBLE AS VARCHAR) || ' ' || r_name AS name,
                round(-3.5 + r_regionkey * 0.01, 3)::DOUBLE AS lat, round(115.0 + r_regionkey * 0.01, 3)::DOUBLE AS lon,
                round(-3.5 + r_regionkey * 0.01 + 0.005, 3)::DOUBLE AS lat2, round(115.0 + r_regionkey * 0.01 + 0.005, 3)::DOUBLE AS lon2
         FROM region WHERE r_regionkey <> 4"""
