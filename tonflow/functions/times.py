@@ -12,13 +12,11 @@ from tonflow.functions.numbers import col, steady
 from tonflow.settings import DEFAULTS, Settings
 
 # --- Fixed values -----------------------------------------------------------------
-# Layouts tried after Spark's own default parser.  "H" also takes two digits; brackets are
-# optional parts, which keeps the number of attempts (and the generated code) small.
-TIMESTAMP_LAYOUTS = (
-    "M/d/yy H:mm[:ss]",
-    "M/d/yyyy H:mm[:ss]",
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS][XXX][X]",
-)
+# Layouts beyond Spark's own default parser, each with the shape of text it can match.  "H"
+# also takes two digits; brackets are optional parts.
+SLASH_SHORT_YEAR = (r"^\d+/\d+/\d{2} ", "M/d/yy H:mm[:ss]")
+SLASH_LONG_YEAR = (r"^\d+/\d+/\d{4} ", "M/d/yyyy H:mm[:ss]")
+DASHED = (r"^\d{4}-\d{2}-\d{2} ", "yyyy-MM-dd HH:mm:ss[.SSSSSS][XXX][X]")
 ISO_LAYOUTS = ("yyyy-MM-dd'T'HH:mm:ss[.SSS]", "yyyy-MM-dd HH:mm:ss[.SSS]")
 DAY_NAMES = ("Minggu", "Senin", "Selasa", "Rabu", "Kamis", "Jumat", "Sabtu")
 QUARTER_DAYS = ("00:00-05:59", "06:00-11:59", "12:00-17:59", "18:00-23:59")
@@ -26,12 +24,20 @@ QUARTER_DAYS = ("00:00-05:59", "06:00-11:59", "12:00-17:59", "18:00-23:59")
 
 
 def parse_any(c: Column | str) -> Column:
-    r"""Timestamp from text in any known layout; empty, ``\N`` and garbage give NULL."""
+    r"""Timestamp from text in any known layout; empty, ``\N`` and garbage give NULL.
+
+    A failed attempt costs an exception inside the JVM, so a layout is only tried on text
+    of its shape.
+    """
     raw = F.trim(col(c).cast("string"))
-    usable = F.when((raw != "") & (raw != "\\N"), raw)
-    attempts = [F.try_to_timestamp(usable)]
-    attempts += [F.try_to_timestamp(usable, F.lit(layout)) for layout in TIMESTAMP_LAYOUTS]
-    return F.coalesce(*attempts)
+
+    def attempt(layout: tuple[str, str]) -> Column:
+        shape, pattern = layout
+        return F.when(raw.rlike(shape), F.try_to_timestamp(raw, F.lit(pattern)))
+
+    slashed = F.coalesce(attempt(SLASH_SHORT_YEAR), attempt(SLASH_LONG_YEAR))
+    dashed = F.coalesce(raw.try_cast("timestamp"), attempt(DASHED))
+    return F.when(raw.contains("/"), slashed).otherwise(dashed)
 
 
 def parse_iso(c: Column | str) -> Column:

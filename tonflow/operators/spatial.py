@@ -155,11 +155,27 @@ def with_lane(
         rest = [s[c].alias(c) for c in lane_columns]
         return F.struct(named, far, *rest) if pick == "name" else F.struct(far, named, *rest)
 
+    def within_box(s: Column) -> Column:
+        """Cheap test in degrees; leaves few segments to measure."""
+        y, x, pad = col(lat), col(lon), F.col("_pad")
+        north = (y >= F.least(s["_lat_a"], s["_lat_b"]) - pad) & (
+            y <= F.greatest(s["_lat_a"], s["_lat_b"]) + pad
+        )
+        east = (x >= F.least(s["_lon_a"], s["_lon_b"]) - pad) & (
+            x <= F.greatest(s["_lon_a"], s["_lon_b"]) + pad
+        )
+        return north & east
+
+    # One margin for both directions: that of longitude, the larger one.
+    furthest = F.least(F.abs(col(lat)) + 0.01, F.lit(89.0))
+    pad = F.lit(tolerance_m * 1.02 / METRES_PER_DEGREE) / F.cos(F.radians(furthest))
     candidates = F.filter(
-        F.transform("_lanes", measured), lambda s: s["lane_dist_m"] <= tolerance_m
+        F.transform(F.filter("_lanes", within_box), measured),
+        lambda s: s["lane_dist_m"] <= tolerance_m,
     )
     return (
         placed.join(index, ["_cx", "_cy"])
+        .withColumn("_pad", pad)
         .withColumn("_lane", F.array_min(candidates))
         .where("_lane IS NOT NULL")
         .select(*points.columns, *[F.col(f"_lane.{c}").alias(c) for c in lane_columns],

@@ -234,7 +234,8 @@ DURATIONS = ["queue_duration_minutes", "cp_area_duration_minutes", "cp_process_d
 
 
 def movements(spark, d):
-    return movement.movement_silver(inputs.queue_rows(spark, d))
+    # The raw table is stored first: it stands for a source table, not for a computation.
+    return movement.movement_silver(cut_lineage(inputs.queue_rows(spark, d)))
 
 
 @case(
