@@ -234,8 +234,10 @@ DURATIONS = ["queue_duration_minutes", "cp_area_duration_minutes", "cp_process_d
 
 
 def movements(spark, d):
-    # The raw table is stored first: it stands for a source table, not for a computation.
-    return movement.movement_silver(cut_lineage(inputs.queue_rows(spark, d)))
+    # The raw table is stored first, in even files: it stands for a source table, not for a
+    # computation.
+    even = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return movement.movement_silver(cut_lineage(inputs.queue_rows(spark, d).repartition(even)))
 
 
 @case(
