@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from tonflow.llm.common import BLANKS, WORD
 
 SYMBOLS = r"[#*$%&|<>]"
+#: A word without letter or digit, between blanks.
+BARE_MARKS = rf"[{BLANKS}][^\p{{L}}\p{{N}}{BLANKS}]+[{BLANKS}]"
 
 
 @dataclass(frozen=True)
@@ -41,11 +43,12 @@ RULES = (
     Rule("word_length", "word_chars", "n_words", 9.0, 14.0),
     Rule("no_stubs", "word_chars", "n_words", 3.0, 2.0, rising=True),
     Rule("few_symbols", "n_symbols", "n_words", 0.05, 0.2),
-    Rule("few_repeated_lines", "n_dup_lines", "n_lines", 0.1, 0.3),
-    Rule("few_repeated_words", "n_repeat_words", "n_words", 0.15, 0.4),
+    Rule("few_repeated_lines", "n_dup_lines", "n_lines", 0.2, 0.5),
+    Rule("few_repeated_words", "n_repeat_words", "n_words", 0.25, 0.5),
     Rule("few_capitals", "n_capitals", "n_letters", 0.2, 0.5),
     Rule("mostly_letters", "n_letters", "word_chars", 0.85, 0.7, rising=True),
     Rule("few_shouts", "n_shouts", "n_words", 0.05, 0.2),
+    Rule("few_bare_marks", "n_bare_marks", "n_words", 0.03, 0.1),
 )
 
 
@@ -62,6 +65,7 @@ def text_statistics(docs: DataFrame, text: str = "text", carry: tuple[str, ...]
         F.regexp_extract_all(own, F.lit(WORD), F.lit(0)).alias("words"),
         F.filter(F.split(own, "\n", -1), lambda x: x.rlike(WORD)).alias("lines"),
         F.regexp_replace(own, rf"[{BLANKS}]+", "").alias("solid"),
+        F.regexp_count(own, F.lit(BARE_MARKS)).alias("bare_marks"),
     )
     last = F.size("words") - 3
     hashes = F.transform(
@@ -92,6 +96,7 @@ def text_statistics(docs: DataFrame, text: str = "text", carry: tuple[str, ...]
         F.length(F.regexp_replace("solid", r"[^\p{L}]+", "")).cast("long").alias("n_letters"),
         F.length(F.regexp_replace("solid", r"[^\p{Lu}]+", "")).cast("long").alias("n_capitals"),
         F.regexp_count("solid", F.lit(r"[!?]{2,}")).cast("long").alias("n_shouts"),
+        F.col("bare_marks").cast("long").alias("n_bare_marks"),
     )
 
 
@@ -103,39 +108,63 @@ def vote(rule: Rule) -> Column:
     return F.coalesce(F.when(good, 1).when(bad, -1), F.lit(0))
 
 
+#: First guess of a rule's accuracy on good and on bad texts, and of the share of good texts.
+START = (0.99, 0.15, 0.7)
+#: Rules are written so that they seldom speak against a good text: bounds of that accuracy.
+ON_GOOD = (0.98, 0.999)
+#: Bounds of the accuracy on bad texts and of the share of good texts.
+ON_BAD, SHARE = (0.03, 0.98), (0.05, 0.95)
+
+
 def estimate(
     patterns: list[tuple[tuple[int, ...], int]],
     rounds: int = 12,
-    accuracy: float = 0.8,
-    prior: float = 0.7,
-    least: float = 0.55,
-    most: float = 0.98,
-) -> tuple[list[float], float]:
-    """Accuracies of the rules and the share of good texts from counted vote patterns.
-
-    A rule that votes is right with its accuracy, whether the text is good or bad, and rules
-    err independently of each other.  Estimates stay within bounds: a rule is never taken
-    to be worse than chance, so good and bad cannot change places.  Without any
-    pattern the starting values come back.
+    start: tuple[float, float, float] = START,
+) -> tuple[list[tuple[float, float]], float]:
+    """How often each rule's votes are right, and the share of good texts, from vote patterns.
+
+    A rule has two accuracies: how often it votes good where the text is good, and how often
+    it votes bad where the text is bad; of texts on which it abstains it says nothing, and rules
+    err independently of each other.  ``start`` has the first guess of both and of the share.
+    Estimates stay within bounds at which a vote never speaks for its opposite, so good and
+    bad cannot change places.  Without any pattern the starting values come back.
     """
     rules = range(len(patterns[0][0])) if patterns else range(0)
-    right = [accuracy for _ in rules]
+    right = [start[:2] for _ in rules]
+    share = start[2]
     for _ in range(rounds if patterns else 0):
-        agreed, voted, good, total = [0.0 for _ in rules], [0.0 for _ in rules], 0.0, 0.0
+        weights = _weights(right)
+        sums = [[0.0, 0.0, 0.0, 0.0] for _ in rules]  # good and voted good, good; bad and voted bad, bad
+        good, total = 0.0, 0
         for votes, n in patterns:
-            logit = math.log(prior / (1 - prior))
-            logit += sum(v * math.log(p / (1 - p)) for v, p in zip(votes, right, strict=True))
-            p_good = 1 / (1 + math.exp(-logit))
-            good, total = good + n * p_good, total + n
+            p = 1 / (1 + math.exp(-_logit(share, weights, votes)))
+            good, total = good + n * p, total + n
             for j in rules:
                 if votes[j]:
-                    voted[j] += n
-                    agreed[j] += n * (p_good if votes[j] > 0 else 1 - p_good)
-        right = [
-            min(max(agreed[j] / voted[j], least), most) if voted[j] else accuracy for j in rules
-        ]
-        prior = min(max(good / total, 0.05), 0.95)
-    return right, prior
+                    sums[j][0] += n * p * (votes[j] > 0)
+                    sums[j][1] += n * p
+                    sums[j][2] += n * (1 - p) * (votes[j] < 0)
+                    sums[j][3] += n * (1 - p)
+        right = [_bounded(s, r) for s, r in zip(sums, right, strict=True)]
+        share = min(max(good / total, SHARE[0]), SHARE[1])
+    return right, share
+
+
+def _bounded(sums: list[float], old: tuple[float, float]) -> tuple[float, float]:
+    """The new accuracies; those of a class without votes stay."""
+    on_good = min(max(sums[0] / sums[1], ON_GOOD[0]), ON_GOOD[1]) if sums[1] > 0 else old[0]
+    on_bad = min(max(sums[2] / sums[3], ON_BAD[0]), ON_BAD[1]) if sums[3] > 0 else old[1]
+    return on_good, on_bad
+
+
+def _weights(right: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """What a good and what a bad vote add to the logit."""
+    return [(math.log(g / (1 - b)), math.log((1 - g) / b)) for g, b in right]
+
+
+def _logit(share: float, weights: list[tuple[float, float]], votes: tuple[int, ...]) -> float:
+    said = (w[v < 0] for w, v in zip(weights, votes, strict=True) if v)
+    return math.log(share / (1 - share)) + sum(said)
 
 
 def judge(stats: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -152,8 +181,9 @@ def judge(stats: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         .orderBy(*names)
         .collect()
     )
-    right, prior = estimate([(tuple(row[:-1]), row[-1]) for row in counted])
-    logit = F.lit(math.log(prior / (1 - prior)))
-    for rule, p in zip(rules, right, strict=False):
-        logit = logit + vote(rule) * math.log(p / (1 - p))
+    right, share = estimate([(tuple(row[:-1]), row[-1]) for row in counted])
+    logit = F.lit(math.log(share / (1 - share)))
+    for rule, (good, bad) in zip(rules, _weights(right), strict=False):
+        said = vote(rule)
+        logit = logit + F.when(said > 0, good).when(said < 0, bad).otherwise(0.0)
     return stats.withColumn("posterior", F.round(1 / (1 + F.exp(-logit)), 6))

@@ -34,17 +34,29 @@ def _votes_sql() -> str:
 
 def _op1_sql(rounds: int = 12) -> str:
     k = range(len(quality_rules.RULES))
-    logit = "ln(pr / (1 - pr)) + " + " + ".join(f"v{i} * ln(a{i} / (1 - a{i}))" for i in k)
-    agreed = [f"sum(CASE WHEN v{i} > 0 THEN n * p WHEN v{i} < 0 THEN n * (1 - p) ELSE 0 END)" for i in k]
+    logit = "ln(pr / (1 - pr)) + " + " + ".join(
+        f"CASE WHEN v{i} > 0 THEN ln(g{i} / (1 - b{i})) WHEN v{i} < 0 THEN ln((1 - g{i}) / b{i}) ELSE 0 END" for i in k
+    )
+    good = [f"sum(CASE WHEN v{i} > 0 THEN n * p ELSE 0 END) / nullif(sum(CASE WHEN v{i} <> 0 THEN n * p END), 0)" for i in k]
+    bad = [
+        f"sum(CASE WHEN v{i} < 0 THEN n * (1 - p) ELSE 0 END) / nullif(sum(CASE WHEN v{i} <> 0 THEN n * (1 - p) END), 0)"
+        for i in k
+    ]
+
+    def within(x: str, bounds: tuple[float, float]) -> str:
+        return f"least(greatest({x}, {bounds[0]}::DOUBLE), {bounds[1]}::DOUBLE)"
+
     new = ", ".join(
-        f"CASE WHEN sum(n * abs(v{i})) > 0 THEN least(greatest({agreed[i]} / sum(n * abs(v{i})), 0.55::DOUBLE), 0.98::DOUBLE) "
-        f"ELSE 0.8::DOUBLE END AS a{i}"
+        f"coalesce({within(good[i], quality_rules.ON_GOOD)}, max(g{i})) AS g{i}, "
+        f"coalesce({within(bad[i], quality_rules.ON_BAD)}, max(b{i})) AS b{i}"
         for i in k
     )
-    steps = [f"e0 AS (SELECT {', '.join(f'0.8::DOUBLE AS a{i}' for i in k)}, 0.7::DOUBLE AS pr)"]
+    on_good, on_bad, share = quality_rules.START
+    first = ", ".join(f"{on_good}::DOUBLE AS g{i}, {on_bad}::DOUBLE AS b{i}" for i in k)
+    steps = [f"e0 AS (SELECT {first}, {share}::DOUBLE AS pr)"]
     for r in range(rounds):
         steps.append(
-            f"e{r + 1} AS MATERIALIZED (SELECT {new}, least(greatest(sum(n * p) / sum(n), 0.05::DOUBLE), 0.95::DOUBLE) AS pr "
+            f"e{r + 1} AS MATERIALIZED (SELECT {new}, {within('sum(n * p) / sum(n)', quality_rules.SHARE)} AS pr "
             f"FROM (SELECT *, 1 / (1 + exp(-({logit}))) AS p FROM patterns, e{r}))"
         )
     votes = ", ".join(f"v{i}" for i in k)
@@ -52,7 +64,8 @@ def _op1_sql(rounds: int = 12) -> str:
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 b AS (SELECT rid, doc_id, regexp_extract_all(t, {SQL_WORD}) AS w,
   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, {SQL_WORD})) AS l,
-  regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g') AS s FROM d),
+  regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g') AS s,
+  len(regexp_extract_all(t, '[\x20\x09-\x0D][^\p{{L}}\p{{N}}\x20\x09-\x0D]+[\x20\x09-\x0D]')) AS m FROM d),
 g AS (SELECT rid, list_transform(range(1, len(w) - 1), lambda i: w[i] || chr(9) || w[i + 1] || chr(9) || w[i + 2]) AS g
   FROM b WHERE len(w) >= 3),
 q AS (SELECT rid, unnest(g) AS x, generate_subscripts(g, 1) AS i FROM g),
@@ -64,7 +77,7 @@ st AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(s)::BIGINT AS word_chars
   coalesce(m.n, 0)::BIGINT AS n_repeat_words, len(l)::BIGINT AS n_lines,
   length(regexp_replace(s, '[^\p{{L}}]+', '', 'g'))::BIGINT AS n_letters,
   length(regexp_replace(s, '[^\p{{Lu}}]+', '', 'g'))::BIGINT AS n_capitals,
-  len(regexp_extract_all(s, '[!?]{{2,}}'))::BIGINT AS n_shouts
+  len(regexp_extract_all(s, '[!?]{{2,}}'))::BIGINT AS n_shouts, b.m::BIGINT AS n_bare_marks
   FROM b LEFT JOIN m USING (rid)),
 vt AS (SELECT *, {_votes_sql()} FROM st),
 patterns AS MATERIALIZED (SELECT {votes}, count(*) AS n FROM vt GROUP BY ALL),
