@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonflow.llm import byte_pairs, chat, curriculum, quality_rules, rule_classifier, token_trie
+from tonflow.llm import byte_pairs, chat, curriculum, language, minmax, quality_rules, rule_classifier, token_trie
 from tonflow.llm.common import held_out, table
 
 SQL_WORD = r"'[^\x20\x09-\x0D]+'"
@@ -186,6 +186,20 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(r || chr(10) || x
 FROM o GROUP BY conv_id"""
 
 
+# ---------------------------------------------------------------- op9: language ID
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    away = held_out(F.col("doc_id"), 4, 2)
+    model = language.learn(docs.where(~away))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", away.alias("held_out"), "lang_pred", "score")
+
+
+# ------------------------------------------------------- op10: min-max near-duplicates
+def op10_minmax(spark: SparkSession, folder: str) -> DataFrame:
+    return minmax.near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_rule_classifier": op3_rule_classifier,
@@ -193,5 +207,7 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op7_byte_pairs": op7_byte_pairs,
     "op8_chat_format": op8_chat_format,
+    "op9_language": op9_language,
+    "op10_minmax": op10_minmax,
 }
 ORACLES = {"op1_quality_rules": _op1_sql(), "op4_curriculum": OP4_SQL, "op8_chat_format": OP8_SQL}
