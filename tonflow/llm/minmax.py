@@ -6,14 +6,18 @@ permutations, put documents into buckets; 20 bands miss a pair at a similarity o
 probability of 4e-7.  Documents with the same set of shingles are one class and are compared
 once.
 
-Within a bucket not all pairs are compared.  One member is the hub: the one that meets most
-others in all its buckets, which among copies of one text is the text they were made from.
-Every member is compared with the hub on full sets.  Two members that are not yet in one
-component can only be similar if their differences from the hub share an element early in a
-fixed order (elements that the hub lacks come first): the prefix filter, applied to differences.
-Members that share such an element form a smaller bucket without the hub, and the same is
-done again until no bucket spans two components.  So no similar pair that met in a bucket
-is missed, and the number of comparisons follows the number of documents.
+A bucket has a hub: the member that meets most others in all its buckets, which among copies
+of one text is the text they were made from.  Buckets with one hub form a group, which is
+compared on full sets in parts of at most ``PER_TASK`` members, each with a copy of the hub:
+all members with the hub, then, block-wise within the part, those that are not in one
+component yet.  Only links that join components leave the task.
+
+In a group of several parts, similar members of different parts remain.  They can only be
+similar if their differences from the hub share an element early in a fixed order (elements
+that the hub lacks come first): the prefix filter, applied to differences.  Members of two
+components that share such an element form a smaller bucket without the hub, and the same is
+done again.  So no similar pair that met in a bucket is missed, and the number of comparisons
+follows the number of documents, however large a group is.
 """
 
 from __future__ import annotations
@@ -32,10 +36,8 @@ from tonflow.llm.common import code_on_workers, pieces, stored
 BANDS, PER_BAND = 20, 4
 PERMUTATIONS = BANDS * PER_BAND // 2
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-#: Members that one task compares with a copy of their hub.
-PER_TASK = 500
-#: After so many rounds, what is left of a bucket is compared member by member.
-ROUNDS = 6
+#: Members of a group, and shingles of all of them, that are compared with each other at once.
+PER_TASK, SHINGLES_PER_TASK = 2_000, 2_000_000
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -115,46 +117,97 @@ def signed(docs: DataFrame, doc_id: str, text: str, width: int = 5) -> DataFrame
     return rows.mapInArrow(sign, f"id {kind}, key string, class binary, size bigint, bands array<bigint>")
 
 
-def difference_prefix(
-    own: np.ndarray, hub: np.ndarray, percent: int, shared: int
-) -> np.ndarray:
-    """Elements of a document's difference from its hub that a similar document must share one of.
+def prefix_length(d: int, n: int, m: int, percent: int) -> int:
+    """How many elements of a difference a similar set's difference must share one of.
 
-    With the similarity p, two sets are similar if their difference has at most
-    (1-p)/(1+p) times both their sizes; call this their slack.  From that follows how many
-    elements the differences of two similar sets from a third have in common, at least:
-    (d1 + d2 - slack) / 2.  A document similar to its hub needs only be found by ones that are
+    ``d`` elements make the difference of a set of ``n`` from a hub of ``m``.  With the
+    similarity p, two sets are similar if their difference has at most (1-p)/(1+p) times
+    both their sizes; call this their slack.  From that follows how many elements the
+    differences of two similar sets from a third have in common, at least:
+    (d1 + d2 - slack) / 2.  A set similar to the hub needs only be found by ones that are
     not, whose d2 is above their own slack with the hub; one that is not similar may be
     found by any whose d2 is at least d1 - slack.  All in whole numbers.
     """
-    added = own[~np.isin(own, hub, assume_unique=True)]
-    lacking = hub[~np.isin(hub, own, assume_unique=True)]
-    n, m, d = len(own), len(hub), len(added) + len(lacking)
     more, less = 100 + percent, 100 - percent
-    if more * d <= less * (n + m):  # similar to the hub
+    if more * d <= less * (n + m):
         common = (more * d - less * (n - m)) // (2 * more) + 1
     else:  # the partner has at most n / p shingles
-        slack = (less * (n + n * 100 // percent)) // more
-        common = d - slack
-    keep = d - max(1, min(common, d)) + 1
+        common = d - (less * (n + n * 100 // percent)) // more
+    return d - max(1, min(common, d)) + 1
+
+
+def difference_prefix(own: np.ndarray, hub: np.ndarray, percent: int) -> np.ndarray:
+    """The prefix of a difference in an order that needs no counts: what the hub lacks first."""
+    added = own[~np.isin(own, hub, assume_unique=True)]
+    lacking = hub[~np.isin(hub, own, assume_unique=True)]
+    keep = prefix_length(len(added) + len(lacking), len(own), len(hub), percent)
     return np.concatenate([added, lacking])[:keep]
 
 
-def compared(docs: DataFrame, pairs: DataFrame, classes: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
-    """Compare each (member, hub) on full sets: ``linked`` and the prefix of the difference.
+def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between sets that are similar, as few as join what is similar; set 0 is the hub.
 
-    The texts of a hub and its members meet in tasks of at most ``PER_TASK`` members, each
-    with a copy of the hub's text.  Texts are fetched by id and hash of one document of
-    each class.
+    After the hub, a set is compared with those of other components that share an element of
+    its difference's prefix, elements that few differences have coming first.
+    """
+    top = list(range(len(sets)))
+
+    def root(x: int) -> int:
+        while top[x] != x:
+            top[x] = x = top[top[x]]
+        return x
+
+    def similar(i: int, j: int) -> bool:
+        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        return 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both)
+
+    links = [(i, 0) for i in range(1, len(sets)) if similar(i, 0)]
+    for i, _ in links:
+        top[i] = 0
+    if len(links) >= len(sets) - 1 or len(sets) == 2:
+        return links
+    differences = [np.setxor1d(s, sets[0], assume_unique=True) for s in sets]
+    ends = np.cumsum([len(d) for d in differences])
+    _, element, times = np.unique(np.concatenate(differences), return_inverse=True, return_counts=True)
+    rank = np.empty(len(times), np.int64)
+    rank[np.argsort(times, kind="stable")] = np.arange(len(times))
+    alone = int((times == 1).sum())  # lower ranks are in one difference only
+    seen: dict[int, list[int]] = {}
+    for i in range(1, len(sets)):
+        own = np.sort(rank[element[ends[i - 1] : ends[i]]])
+        own = own[: prefix_length(len(own), len(sets[i]), len(sets[0]), percent)]
+        tried: set[int] = set()
+        for r in own[np.searchsorted(own, alone) :].tolist():
+            others = seen.setdefault(r, [])
+            for j in others:
+                if j not in tried and root(j) != root(i):
+                    tried.add(j)
+                    if similar(i, j):
+                        x, y = sorted((root(i), root(j)))
+                        top[y] = x
+                        links.append((i, j))
+            others.append(i)
+    return links
+
+
+def compared(docs: DataFrame, groups: DataFrame, classes: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
+    """Compare groups (grp, hub, member) on full sets, part by part.
+
+    Gives rows of two kinds: links (a, b), and, of groups with several parts, members ``a`` with
+    the ``prefix`` of their difference from the hub.  Texts are fetched by the id and the
+    hash of one document of each class.
     """
     code_on_workers(docs.sparkSession)
-    parts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / PER_TASK).cast("int").alias("parts"))
-    members = pairs.join(parts, "hub").select(
-        F.col("member").alias("class"), "hub", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("part"),
-        F.lit(1).alias("rank"),
+    load = F.greatest(F.count("*") / PER_TASK, F.sum("size") / SHINGLES_PER_TASK)
+    sized = groups.join(classes.select(F.col("class").alias("member"), "size"), "member")
+    parts = sized.groupBy("grp", "hub").agg(F.ceil(load).cast("int").alias("parts"))
+    members = groups.join(parts.select("grp", "parts"), "grp").select(
+        "grp", "parts", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("part"),
+        F.lit(1).alias("rank"), F.col("member").alias("class"),
     )
     hubs = parts.select(
-        F.col("hub").alias("class"), "hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("rank")
+        "grp", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("rank"),
+        F.col("hub").alias("class"),
     )
     asked = members.unionByName(hubs).join(classes.select("class", "id", "key"), "class")
     texts = docs.select(
@@ -163,36 +216,39 @@ def compared(docs: DataFrame, pairs: DataFrame, classes: DataFrame, doc_id: str,
     met = (
         texts.alias("t")
         .join(asked.alias("a"), (F.col("t.key") == F.col("a.key")) & F.col("t.id").eqNullSafe(F.col("a.id")))
-        .select("hub", "part", "rank", "class", "text")
-        .repartition("hub", "part")
-        .sortWithinPartitions("hub", "part", "rank", "class")
+        .select("grp", "parts", "part", "rank", "class", "text")
+        .repartition("grp", "part")
+        .sortWithinPartitions("grp", "part", "rank", "class")
     )
 
+    def solved(grp: int, parts: int, names: list[bytes], sets: list[np.ndarray]) -> pa.RecordBatch:
+        links = spanning_links(sets, percent)
+        a, b, prefix = [names[i] for i, _ in links], [names[j] for _, j in links], [None] * len(links)
+        if parts > 1:
+            a += names[1:]
+            b += [None] * (len(names) - 1)
+            prefix += [difference_prefix(s, sets[0], percent).view(np.int64) for s in sets[1:]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([grp] * len(a), pa.int64()), pa.array(a, pa.binary()), pa.array(b, pa.binary()),
+             pa.array(prefix, pa.list_(pa.int64()))],
+            ["grp", "a", "b", "prefix"],
+        )
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, at, own_hub, last = _Words(), None, None, None
+        words, at, names, sets = _Words(), None, [], []
         for batch in pieces(batches, "text", 1 << 20):
-            out: list[tuple] = []
-            hubs_, parts_, ranks, names, bodies = (c.to_pylist() for c in batch.columns)
-            for hub, part, rank, name, body in zip(hubs_, parts_, ranks, names, bodies, strict=True):
-                if rank == 0:
-                    if at != (hub, part):
-                        at, own_hub = (hub, part), shingles(body, words)
-                    continue
-                if last == (hub, part, name):
-                    continue  # a repeated row
-                last = (hub, part, name)
-                own = shingles(body, words)
-                both = len(np.intersect1d(own, own_hub, assume_unique=True))
-                linked = 100 * both >= percent * (len(own) + len(own_hub) - both)
-                out.append((name, hub, linked, difference_prefix(own, own_hub, percent, both).view(np.int64)))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary()),
-                     pa.array([x[2] for x in out], pa.bool_()), pa.array([x[3] for x in out], pa.list_(pa.int64()))],
-                    ["member", "hub", "linked", "prefix"],
-                )
-
-    return met.mapInArrow(compare, "member binary, hub binary, linked boolean, prefix array<bigint>")
+            for grp, parts, part, _, name, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != (grp, parts, part):
+                    if sets:
+                        yield solved(*at[:2], names, sets)
+                    at, names, sets = (grp, parts, part), [], []
+                if not names or names[-1] != name:  # else a repeated row
+                    names.append(name)
+                    sets.append(shingles(body, words))
+        if sets:
+            yield solved(*at[:2], names, sets)
+
+    return met.mapInArrow(compare, "grp bigint, a binary, b binary, prefix array<bigint>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -221,14 +277,25 @@ def components(links: DataFrame) -> DataFrame:
         labels = new
 
 
-def _with_hubs(rows: DataFrame) -> DataFrame:
-    """Rows (bucket, member) of all buckets of two or more, with the bucket's hub."""
+def _groups(rows: DataFrame) -> DataFrame:
+    """From rows (parent, bucket, member): (grp, hub, member), members without their hub.
+
+    Buckets of one parent that have the same hub make one group, so a document stands in it
+    once, however many buckets it shares with the hub.
+    """
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     met = stored(rows.join(sizes, "bucket"))
-    degrees = met.groupBy("member").agg(F.sum("n").alias("degree"))
-    ranked = met.join(degrees, "member").select("bucket", "member", "degree")
+    degrees = met.groupBy("parent", "member").agg(F.sum("n").alias("degree"))
+    ranked = met.join(degrees, ["parent", "member"]).select("bucket", "member", "degree")
     hubs = ranked.groupBy("bucket").agg(F.max(F.struct("degree", "member"))["member"].alias("hub"))
-    return met.select("bucket", "member").join(hubs, "bucket")
+    grouped = met.join(hubs, "bucket").where(F.col("member") != F.col("hub")).select("parent", "hub", "member").distinct()
+    return stored(grouped.select(F.xxhash64("parent", "hub").alias("grp"), "hub", "member"))
+
+
+def _spanning(rows: DataFrame, key: str) -> DataFrame:
+    """Those rows whose key has members in two components or more."""
+    spans = rows.groupBy(key).agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return rows.join(spans.where(F.col("low") != F.col("high")).select(key), key)
 
 
 def near_duplicates(
@@ -247,44 +314,31 @@ def near_duplicates(
     classes = stored(
         rows.where("size > 0")
         .groupBy("class")
-        .agg(F.min(F.struct("id", "key")).alias("one"), F.min("id").alias("first_id"), F.first("bands").alias("bands"))
-        .select("class", "one.id", "one.key", "first_id", "bands")
+        .agg(F.min(F.struct("id", "key")).alias("one"), F.min("id").alias("first_id"), F.first("bands").alias("bands"), F.max("size").alias("size"))
+        .select("class", "one.id", "one.key", "first_id", "bands", "size")
     )
-    banded = classes.select(F.explode("bands").alias("bucket"), F.col("class").alias("member"))
-    hubs = _with_hubs(banded).where(F.col("member") != F.col("hub")).select("hub", "member").distinct()
-    # all that share a hub form one bucket now, without the hub
-    buckets = stored(hubs.select(F.xxhash64("hub").alias("bucket"), "hub", "member"))
-    links, labels = None, None
-    for round_ in range(ROUNDS + 1):
-        if buckets.isEmpty():
-            break
-        if round_ == ROUNDS:
-            other = buckets.select("bucket", F.col("member").alias("hub"))
-            pairs = buckets.select("bucket", "member").join(other, "bucket").where(F.col("member") < F.col("hub"))
-            pairs = stored(pairs.select("member", "hub").distinct())
-        else:
-            pairs = stored(buckets.select("member", "hub").distinct())
-        results = stored(compared(docs, pairs, classes, doc_id, text, percent))
-        found = results.where("linked").select(F.col("member").alias("a"), F.col("hub").alias("b"))
+    banded = classes.select(
+        F.lit(0).cast("long").alias("parent"), F.explode("bands").alias("bucket"), F.col("class").alias("member")
+    )
+    groups = _groups(banded)
+    links = None
+    while not groups.isEmpty():
+        results = stored(compared(docs, groups, classes, doc_id, text, percent))
+        found = results.where(F.col("b").isNotNull()).select("a", "b")
         links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        if round_ == ROUNDS:
+        open_ = results.where(F.col("b").isNull()).select("grp", "a", "prefix")
+        if open_.isEmpty():
             break
-        named = buckets.join(labels, buckets["member"] == labels["node"], "left").select(
-            "bucket", "hub", "member", F.coalesce("label", "member").alias("label")
+        labels = components(links)
+        named = open_.join(labels, open_["a"] == labels["node"], "left").select(
+            "grp", F.col("a").alias("member"), F.coalesce("label", "a").alias("label"), "prefix"
         )
-        mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        mixed = mixed.where(F.col("low") != F.col("high")).select("bucket")
-        open_ = named.join(mixed, "bucket").join(results.select("member", "hub", "prefix"), ["member", "hub"])
-        smaller = stored(
-            open_.select("bucket", "hub", "member", "label", F.explode("prefix").alias("element")).select(
-                F.xxhash64("bucket", "hub", "element").alias("bucket"), "member", "label"
-            )
+        shared = _spanning(named, "grp").select(
+            F.col("grp").alias("parent"), "member", "label", F.explode("prefix").alias("element")
         )
-        spans = smaller.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        spans = spans.where(F.col("low") != F.col("high")).select("bucket")
-        again = _with_hubs(smaller.join(spans, "bucket").select("bucket", "member"))
-        buckets = stored(again.where(F.col("member") != F.col("hub")).select("bucket", "hub", "member"))
+        shared = shared.select("parent", F.xxhash64("parent", "element").alias("bucket"), "member", "label")
+        groups = _groups(_spanning(stored(shared), "bucket").select("parent", "bucket", "member"))
+    labels = None if links is None else components(links)
     named = classes.select("class", "first_id")
     if labels is not None:
         joined = named.join(labels, named["class"] == labels["node"], "left")
