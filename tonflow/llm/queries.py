@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonflow.llm import byte_pairs, chat, curriculum, language, minmax, quality_rules, rule_classifier, token_trie
+from tonflow.llm import byte_pairs, chat, curriculum, language, minmax, neighbours, quality_rules, rule_classifier, suffix_dedup, token_trie
 from tonflow.llm.common import held_out, table
 
 SQL_WORD = r"'[^\x20\x09-\x0D]+'"
@@ -88,6 +88,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND posterior >= 0.5 AS kept, posterior FROM fin"""
 
 
+# ------------------------------------------------------------- op2: nearest neighbours
+def op2_one_bit_codes(spark: SparkSession, folder: str) -> DataFrame:
+    index, mean = neighbours.build_index(table(spark, folder, "embeddings"))
+    return neighbours.search(index, mean, index.where(F.col("id") % 20 == 0), k=20)
+
+
+OP2_SQL = """
+WITH v AS (SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e) AS score
+  FROM v AS q JOIN v ON q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
 # ----------------------------------------------------------- op3: quality classifier
 def quality_model(docs: DataFrame, labels: DataFrame) -> rule_classifier.RuleModel:
     """The model for quality, learnt from documents that are not held out."""
@@ -142,6 +158,14 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_trie.count_tokens(table(spark, folder, "documents"))
 
 
+# ----------------------------------------------------------- op6: suffix-array dedup
+def op6_suffix_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id", "repeats.n_bytes", "repeats.n_removed", "repeats.n_spans", F.sha2("repeats.kept", 256).alias("kept_sha256")
+    )
+
+
 # -------------------------------------------------------------- op7: byte-level BPE
 def op7_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     tokens = byte_pairs.encode_texts(table(spark, folder, "documents"), decoded=True)
@@ -202,12 +226,14 @@ def op10_minmax(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_one_bit_codes": op2_one_bit_codes,
     "op3_rule_classifier": op3_rule_classifier,
     "op4_curriculum": op4_curriculum,
     "op5_token_counts": op5_token_counts,
+    "op6_suffix_arrays": op6_suffix_arrays,
     "op7_byte_pairs": op7_byte_pairs,
     "op8_chat_format": op8_chat_format,
     "op9_language": op9_language,
     "op10_minmax": op10_minmax,
 }
-ORACLES = {"op1_quality_rules": _op1_sql(), "op4_curriculum": OP4_SQL, "op8_chat_format": OP8_SQL}
+ORACLES = {"op1_quality_rules": _op1_sql(), "op2_one_bit_codes": OP2_SQL, "op4_curriculum": OP4_SQL, "op8_chat_format": OP8_SQL}
