@@ -120,7 +120,7 @@ def mix(
     def placement(i: Column) -> Column:
         at = i * F.col("source_size") + F.col("start")
         words = F.greatest(F.lit(0), F.least(F.col("size"), whole - at)).cast("long")
-        when = position(at / F.col("target"), F.col("slope"))
+        when = position(F.try_divide(at, F.col("target")), F.col("slope"))
         return F.struct(i.cast("int").alias("pass"), words.alias("words"), when.alias("position"))
 
     passes = F.sequence(F.lit(0), F.lit(math.ceil(most) - 1))

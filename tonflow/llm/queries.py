@@ -107,10 +107,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
 # ----------------------------------------------------------- op3: quality classifier
 def quality_model(docs: DataFrame, labels: DataFrame) -> rule_classifier.RuleModel:
     """The model for quality, learnt from documents that are not held out."""
-    marks = labels.select(F.col("doc_id").alias("__of"), F.col("quality").alias("__quality"))
-    learn = docs.where(~held_out(F.col("doc_id"), 3, 1)).select("doc_id", "text")
-    labelled = learn.join(marks, F.col("doc_id") == F.col("__of"))
-    return rule_classifier.train(labelled, "text", "__quality", F.col("doc_id"))
+    learn = docs.where(~held_out(F.col("doc_id"), 3, 1))
+    return rule_classifier.train(learn, labels, "doc_id", "text", "quality")
 
 
 def op3_rule_classifier(spark: SparkSession, folder: str) -> DataFrame:

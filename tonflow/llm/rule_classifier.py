@@ -175,19 +175,26 @@ def fit(
     return RuleModel(names, tuple(r for r, _ in kept), tuple(b for _, b in kept), intercept)
 
 
-def train(labelled: DataFrame, text: str, label: str, key: Column, most_rows: int = 20_000) -> RuleModel:
-    """Fit on the ``most_rows`` labelled rows whose ``key`` hashes lowest (all, if fewer).
+def train(
+    docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, most_rows: int = 20_000
+) -> RuleModel:
+    """Fit on the ``most_rows`` labelled documents whose id hashes lowest (all, if fewer).
 
-    Rows with a null label are left out.  The bound holds what reaches the driver: numbers
-    only, no texts.
+    Rows with a null label and documents without one are left out.  Texts are made into
+    numbers where they are read, and only numbers meet the labels.  The bound holds what
+    reaches the driver.
     """
     stat = F.struct(*[c.alias(n) for n, c in statistics(F.col(text)).items()])
-    rows = labelled.where(F.col(label).isNotNull()).select(
-        F.xxhash64(key).alias("__order"), F.col(label).cast("double").alias("__label"), stat.alias("__stat")
-    )
     wanted = features(F.col("__stat"))
+    rows = docs.select(F.col(doc_id).alias("__id"), stat.alias("__stat")).select(
+        "__id", *[c.cast("double").alias(n) for n, c in wanted.items()]
+    )
+    marks = labels.where(F.col(label).isNotNull()).select(
+        F.col(doc_id).alias("__of"), F.col(label).cast("double").alias("__label")
+    )
     sample = (
-        rows.select("__order", "__label", *[c.cast("double").alias(n) for n, c in wanted.items()])
+        rows.join(marks, F.col("__id") == F.col("__of"))
+        .select(F.xxhash64("__id").alias("__order"), "__label", *wanted)
         .orderBy("__order", "__label", *wanted)
         .limit(most_rows)
         .collect()
