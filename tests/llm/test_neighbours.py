@@ -5,12 +5,17 @@ from tonflow.llm import neighbours
 SCHEMA = "vec_id long, embedding array<float>, size string"
 
 
+def product(a, b):
+    total = 0.0
+    for x, y in zip(a, b, strict=True):
+        total += float(x) * float(y)
+    return total
+
+
 def brute(vectors, ids, k):
     out = {}
     for q in ids:
-        scores = sorted(
-            ((-sum(float(a) * float(b) for a, b in zip(vectors[q], v, strict=True)), i) for i, v in vectors.items() if i != q)
-        )
+        scores = sorted((-product(vectors[q], v), i) for i, v in vectors.items() if i != q)
         out[q] = [(i, -s) for s, i in scores[:k]]
     return out
 

@@ -30,6 +30,17 @@ def stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def fenced(column: Column) -> Column:
+    """The same values, but the optimizer leaves the column where it is computed.
+
+    A filter on a column moves below the projection that makes it, with the whole expression
+    in place of every mention of its parts: costly parts would be computed again for each
+    mention, inside lambdas even for each element.  It does not move below an expression that
+    depends on the partition's number.
+    """
+    return F.when(F.spark_partition_id() >= 0, column)
+
+
 def held_out(id_column: Column, modulus: int, remainder: int) -> Column:
     """crc32 of the id's text has this remainder; false for a null id."""
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % modulus == remainder, F.lit(False))

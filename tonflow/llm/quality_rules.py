@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonflow.llm.common import BLANKS, WORD
+from tonflow.llm.common import BLANKS, WORD, fenced
 
 SYMBOLS = r"[#*$%&|<>]"
 #: A word without letter or digit, between blanks.
@@ -62,7 +62,7 @@ def text_statistics(docs: DataFrame, text: str = "text", carry: tuple[str, ...]
     own = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(
         *[F.col(c).alias(f"__{i}") for i, c in enumerate(carry)],
-        F.regexp_extract_all(own, F.lit(WORD), F.lit(0)).alias("words"),
+        fenced(F.regexp_extract_all(own, F.lit(WORD), F.lit(0))).alias("words"),
         F.filter(F.split(own, "\n", -1), lambda x: x.rlike(WORD)).alias("lines"),
         F.regexp_replace(own, rf"[{BLANKS}]+", "").alias("solid"),
         F.regexp_count(own, F.lit(BARE_MARKS)).alias("bare_marks"),
@@ -74,20 +74,20 @@ def text_statistics(docs: DataFrame, text: str = "text", carry: tuple[str, ...]
             F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)).alias("h"), i.alias("at")
         ),
     )
-    base = base.withColumn("windows", F.sort_array(hashes))
+    base = base.withColumn("windows", fenced(F.sort_array(hashes)))
     again = F.filter(
         "windows",
         lambda x, i: F.coalesce(x["h"] == F.get("windows", i - 1)["h"], F.lit(False))
         | F.coalesce(x["h"] == F.get("windows", i + 1)["h"], F.lit(False)),
     )
-    base = base.withColumn("again", F.sort_array(F.transform(again, lambda x: x["at"])))
+    base = base.withColumn("again", fenced(F.sort_array(F.transform(again, lambda x: x["at"]))))
     # a repeated window adds the words up to the next one's begin, three at most
     steps = F.transform(
         "again", lambda at, i: F.least(F.lit(3), F.coalesce(F.get("again", i + 1) - at, F.lit(3)))
     )
     return base.select(
         *[F.col(f"__{i}").alias(c) for i, c in enumerate(carry)],
-        F.size("words").cast("long").alias("n_words"),
+        fenced(F.size("words").cast("long")).alias("n_words"),
         F.length("solid").cast("long").alias("word_chars"),
         F.regexp_count("solid", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -186,4 +186,4 @@ def judge(stats: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     for rule, (good, bad) in zip(rules, _weights(right), strict=False):
         said = vote(rule)
         logit = logit + F.when(said > 0, good).when(said < 0, bad).otherwise(0.0)
-    return stats.withColumn("posterior", F.round(1 / (1 + F.exp(-logit)), 6))
+    return stats.withColumn("posterior", fenced(F.round(1 / (1 + F.exp(-logit)), 6)))

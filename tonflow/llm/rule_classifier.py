@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonflow.llm.common import WORD
+from tonflow.llm.common import WORD, fenced
 
 #: name -> pattern whose matches are counted in the text
 COUNTED = {
@@ -186,7 +186,7 @@ def train(
     """
     stat = F.struct(*[c.alias(n) for n, c in statistics(F.col(text)).items()])
     wanted = features(F.col("__stat"))
-    rows = docs.select(F.col(doc_id).alias("__id"), stat.alias("__stat")).select(
+    rows = docs.select(F.col(doc_id).alias("__id"), fenced(stat).alias("__stat")).select(
         "__id", *[c.cast("double").alias(n) for n, c in wanted.items()]
     )
     marks = labels.where(F.col(label).isNotNull()).select(
@@ -210,5 +210,5 @@ def score_texts(docs: DataFrame, model: RuleModel, text: str = "text", score: st
     """
     stat = F.struct(*[c.alias(n) for n, c in statistics(F.col(text)).items()])
     columns = [c for c in docs.columns if c != score]
-    scored = docs.select(F.struct(*columns).alias("__row"), stat.alias("__stat"))
-    return scored.select("__row.*", model.score(features(F.col("__stat"))).alias(score))
+    scored = docs.select(F.struct(*columns).alias("__row"), fenced(stat).alias("__stat"))
+    return scored.select("__row.*", fenced(model.score(features(F.col("__stat")))).alias(score))
