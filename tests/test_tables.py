@@ -95,13 +95,47 @@ def test_archive_then_prune(spark):
     # 1 January, 31 January, 2 March, 1 April, 1 May, ...; the cutoff is 1 May.
     days = [(i, date(2026, 1, 1) + timedelta(days=30 * i)) for i in range(8)]
     tables.write_table(spark.createDataFrame(days, "id long, day date"), "daily", comment="it's daily")
-    first = tables.archive_and_prune(spark, "daily", "daily_archive", "day", ["id"], 3, "2026-08-01")
+    first = tables.archive_and_prune(spark, "daily", "daily_archive", "day", 3, "2026-08-01")
     assert first["pruned"] and first["old_rows"] == spark.table("daily_archive").count() == 4
     assert sorted(r["id"] for r in spark.table("daily").collect()) == [4, 5, 6, 7]
-    again = tables.archive_and_prune(spark, "daily", "daily_archive", "day", ["id"], 3, "2026-08-01")
+    again = tables.archive_and_prune(spark, "daily", "daily_archive", "day", 3, "2026-08-01")
     assert again["old_rows"] == 0 and not again["pruned"]
 
 
+def test_archive_keeps_rows_that_share_a_key(spark):
+    for name in ("shared", "shared_archive"):
+        tables.drop_table(spark, name)
+    old, new = date(2020, 1, 1), date(2026, 7, 1)
+    schema = "id long, note string, day date"
+    rows = [(1, "first", old), (1, "second", old), (None, "no key", old), (2, "twice", old), (2, "twice", old), (3, "new", new)]
+    tables.write_table(spark.createDataFrame(rows, schema), "shared")
+    tables.write_table(spark.createDataFrame([(1, "earlier", old)], schema), "shared_archive")
+    assert tables.archive_and_prune(spark, "shared", "shared_archive", "day", 3, "2026-08-01")["pruned"]
+    kept = sorted(r["note"] for r in spark.table("shared_archive").collect())
+    assert kept == ["earlier", "first", "no key", "second", "twice", "twice"]
+    assert [r["note"] for r in spark.table("shared").collect()] == ["new"]
+
+
+def test_replacing_keeps_partitioning_and_comment(spark):
+    tables.drop_table(spark, "parted")
+    first = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id long, name string, part string")
+    tables.write_table(first, "parted", partition_by=["part"], comment="by part")
+    tables.upsert_table(spark.createDataFrame([(2, "B", "y"), (3, "c", "z")], first.schema), "parted", ["id"])
+    assert tables._layout(spark, "parted") == (["part"], "parquet", "by part")
+    assert {(r["id"], r["name"]) for r in spark.table("parted").collect()} == {(1, "a"), (2, "B"), (3, "c")}
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("parted_")]
+
+
+def test_batches_never_split_rows_that_tie(spark):
+    rows = [(i, [1, 2, 2, 2, 2, 3, None, 4][i]) for i in range(8)]
+    source = spark.createDataFrame(rows, "id long, at long")
+    loaded = source.limit(0)
+    for _ in range(5):
+        batch = increment(source, spark.createDataFrame(loaded.collect(), source.schema), "at", limit=3)
+        loaded = loaded.unionByName(spark.createDataFrame(batch.collect(), source.schema))
+    assert sorted(r["id"] for r in loaded.collect()) == list(range(8))
+
+
 def test_flows_backfill_once_then_increment(spark):
     for name in ("closing", "closing_flows"):
         tables.drop_table(spark, name)
@@ -161,7 +195,10 @@ def test_jdbc_retry_and_query_text():
         read_with_retry(lambda: read(9), 3, 0, probe=lambda df: df, sleep=lambda s: None)
     assert isinstance(failure.value.__cause__, OSError) and len(calls) == 3
     assert newer_than("t", "ts", "2026-01-01") == "(SELECT * FROM t WHERE ts > '2026-01-01') AS increment"
-    assert newer_than("t", "ts", None, 100) == "(SELECT * FROM t ORDER BY ts LIMIT 100) AS increment"
+    oldest = "SELECT ts AS edge FROM t WHERE ts > '2026-01-01' ORDER BY ts LIMIT 100"
+    assert newer_than("t", "ts", "2026-01-01", 100) == (
+        f"(SELECT * FROM t WHERE ts > '2026-01-01' AND ts <= (SELECT MAX(edge) FROM ({oldest}) AS oldest)) AS increment"
+    )
     options = JdbcSource("jdbc:x", "d", {"user": "u"}, "id", "1", "9", 4).options("q")
     assert options["numPartitions"] == "4" and options["fetchsize"] == "1000" and options["user"] == "u"
 

@@ -43,11 +43,11 @@ def tables(spark):
 
 def test_pairs_follow_in_driving_order(spark):
     positions, devices, lanes, fences = tables(spark)
-    pairs = tracking.vehicle_spacing(positions, devices, lanes).orderBy("devicetime").collect()
+    pairs = tracking.vehicle_spacing(positions, devices, lanes, one_per_truck=True).orderBy("devicetime").collect()
     assert [(r["truk"], r["truk_depan"]) for r in pairs] == [("KMB 2", "12"), ("GEC 1", "KMB 2"), ("GEC 1", "KMB 2")]
     assert pairs[0]["jarak_waktu"] is None  # the follower is slower
     assert pairs[1]["jarak"] == 89.0 and pairs[1]["jarak_waktu"] == round(88.96 / (10 * 1.852 / 3.6))
-    fenced = tracking.vehicle_spacing(positions, devices, lanes, fences)
+    fenced = tracking.vehicle_spacing(positions, devices, lanes, fences, one_per_truck=True)
     assert sorted(r["geofence_name"] for r in fenced.collect()) == ["KM 1 x", "KM 1 x", "KM 1 x", "KM 2.5 y"]
     raw = tracking.vehicle_spacing(positions, devices, lanes, one_per_truck=False)
     assert ("GEC 1", "GEC 1") in {(r["truk"], r["truk_depan"]) for r in raw.collect()}

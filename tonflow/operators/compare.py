@@ -15,7 +15,6 @@ from tonflow.operators.ordered import row_numbers, split_points
 STRUCTURE_WEIGHT = 0.4
 ROWS_WEIGHT = 0.3
 VALUES_WEIGHT = 0.3
-OVERLAP_COLUMNS = 5
 OVERALL_BANDS = ((90, "ALMOST_IDENTICAL"), (70, "SIMILAR"), (50, "SOMEWHAT_RELATED"))
 OVERALL_LOWEST = "DIFFERENT"
 # --- end of fixed values ------------------------------------------------------------
@@ -73,12 +72,11 @@ def compare_cells(
     left: DataFrame,
     right: DataFrame,
     order: Sequence[str],
-    sample_size: int | None = None,
 ) -> DataFrame:
     """Per shared column, how many cells agree row by row (by position under ``order``).
 
     Positions run over the rows both tables have.  Cells are compared as text and two
-    NULLs agree.  ``sample_size`` compares the first rows only, for a quick look.
+    NULLs agree.
     """
     both = sorted(column_sets(left, right)[0])
     points = split_points(left, order[0])
@@ -86,8 +84,6 @@ def compare_cells(
 
     def placed(df: DataFrame, prefix: str) -> DataFrame:
         numbered = row_numbers(df.select(*wanted), order, "_pos", points)
-        if sample_size is not None:
-            numbered = numbered.where(F.col("_pos") <= sample_size)
         return numbered.select("_pos", *[F.col(c).cast("string").alias(prefix + c) for c in both])
 
     aligned = placed(left, "l_").join(placed(right, "r_"), "_pos")
@@ -147,11 +143,14 @@ def value_overlap(left: DataFrame, right: DataFrame, columns: Sequence[str]) ->
 
 
 def compare_overall(left: DataFrame, right: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Weighted similarity of two tables: structure, row counts, shared values."""
+    """Weighted similarity of two tables: structure, row counts, shared values.
+
+    Values are compared in all common columns unless the caller names some.
+    """
     both, only_left, only_right = column_sets(left, right)
     union = len(both) + len(only_left) + len(only_right)
     structure = len(both) / union * 100 if union else 0.0
-    columns = list(columns or both[:OVERLAP_COLUMNS])
+    columns = list(columns or both)
     sides = _row_counts(left, right)
     if columns:
         overlap = value_overlap(left, right, columns).agg(F.avg("overlap_pct"))

@@ -206,12 +206,11 @@ def key_uniqueness(df: DataFrame, key: str) -> DataFrame:
 
 def distribution(df: DataFrame, keys: Sequence[str], value: str | None = None) -> DataFrame:
     """Rows (and a total) per group with the group's share of the whole."""
-    from tonflow.operators.windows import share_of
+    from tonflow.operators.windows import share_of_total
 
     aggs = [F.count(F.lit(1)).alias("total_rows")]
     if value:
         aggs.append(steady(F.sum(value), 2).alias("total_value"))
     counted = df.groupBy(*keys).agg(*aggs)
     measure = "total_value" if value else "total_rows"
-    # One row per group: the unpartitioned total is over the grouped table only.
-    return share_of(counted.withColumn("_all", F.lit(1)), measure, ["_all"], "grand_total", "share_pct").drop("_all")
+    return share_of_total(counted, measure, "grand_total", "share_pct")

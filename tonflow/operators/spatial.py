@@ -37,7 +37,8 @@ def lane_cells(
     """Lanes exploded to (segment, grid cell); linear in segment length.
 
     A segment is cut column by column of the grid; in each column only the rows between
-    the latitudes it has there, widened by the tolerance, are listed.
+    the latitudes it has there, widened by the tolerance, are listed.  A lane beyond
+    ``max_latitude`` is refused, as its cells would grow without bound towards the pole.
     """
     keep = [c for c in lanes.columns if c != wkt]
     segments = lanes.select(
@@ -55,8 +56,9 @@ def lane_cells(
     )
     pad_lat = tolerance_m * 1.01 / METRES_PER_DEGREE
     # A degree of longitude shrinks towards the poles.
-    widest = F.least(F.greatest(F.abs("_lat_a"), F.abs("_lat_b")) + pad_lat, F.lit(max_latitude))
-    pad_lon = F.lit(pad_lat) / F.cos(F.radians(widest))
+    widest = F.greatest(F.abs("_lat_a"), F.abs("_lat_b")) + pad_lat
+    beyond = F.raise_error(F.lit(f"lane beyond latitude {max_latitude}")).cast("double")
+    pad_lon = F.when(widest <= max_latitude, F.lit(pad_lat) / F.cos(F.radians(widest))).otherwise(beyond)
     west = F.least("_lon_a", "_lon_b") - pad_lon
     east = F.greatest("_lon_a", "_lon_b") + pad_lon
     columns = segments.withColumn(

@@ -7,7 +7,7 @@ the old one and only then switches, so a table is never overwritten while it is
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -141,7 +141,7 @@ def merge_upsert(
             for c in target.columns
         ]
     )
-    known = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys]).distinct()
+    known = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
     new = source.join(known, on(keys, [f"_t_{k}" for k in keys]), "left_anti")
     return kept.unionByName(new.select(*target.columns))
 
@@ -187,16 +187,41 @@ def temp_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def replace_table(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
+def _layout(spark: SparkSession, name: str) -> tuple[list[str], str, str | None]:
+    """Partition columns, format and comment of a table."""
+    details = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    return partitions, details.get("Provider", "parquet"), details.get("Comment")
+
+
+def replace_table(df: DataFrame, name: str, fmt: str | None = None) -> DataFrame:
     """Replace a table by a DataFrame that may itself read that table.
 
-    The new rows are written under another name first; the switch is a rename.
+    The new rows are written under another name first.  Then the old table is renamed away,
+    the new one renamed in, and only then the old one dropped: whatever fails, one of the two
+    is complete.  A partitioned table keeps its name, as renaming would leave its partitions
+    pointing to the old place; its partitions are overwritten from the written copy, which is
+    dropped last.  Format, partitioning and comment stay.
     """
     spark = df.sparkSession
-    staged = f"{name}_{uuid.uuid4().hex[:12]}"
-    df.write.format(fmt).mode("errorifexists").saveAsTable(staged)
-    drop_table(spark, name)
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    mark = uuid.uuid4().hex[:12]
+    staged, aside = f"{name}_new_{mark}", f"{name}_old_{mark}"
+    if not spark.catalog.tableExists(name):
+        return write_table(df, name, "errorifexists", fmt=fmt or "parquet")
+    partitions, provider, comment = _layout(spark, name)
+    write_table(df, staged, "errorifexists", (), comment, fmt or provider)
+    if partitions:
+        order = spark.table(name).columns
+        spark.table(staged).select(*order).write.option("partitionOverwriteMode", "static").insertInto(name, overwrite=True)
+        drop_table(spark, staged)
+        return spark.table(name)
+    spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+        raise
+    drop_table(spark, aside)
     return spark.table(name)
 
 
@@ -221,33 +246,37 @@ def archive_and_prune(
     table: str,
     archive: str,
     date_column: str,
-    keys: Sequence[str],
     keep_months: int = 3,
     as_of: str | None = None,
+    read: Callable[[], DataFrame | None] | None = None,
+    write: Callable[[DataFrame], None] | None = None,
 ) -> dict:
     """Copy rows older than ``keep_months`` to an archive table, then remove them.
 
-    Rows already archived are not copied again, and pruning happens only when every old
-    row is found in the archive by key, so a run that died half way can simply be repeated.
+    Whole rows are compared, NULLs like values and repeated rows by their number: what the
+    archive lacks is appended, and pruning happens only when it lacks nothing any more.  A
+    run that died half way can simply be repeated.  The archive is a catalog table unless
+    ``read`` (None where there is none yet) and ``write`` lead elsewhere, to a database say.
     """
+    read = read or (lambda: spark.table(archive) if spark.catalog.tableExists(archive) else None)
+    write = write or (lambda rows: rows.write.mode("append").saveAsTable(archive))
     today = F.lit(as_of).cast("date") if as_of else F.current_date()
     # The cutoff is fixed once so that all steps agree on it.
     cutoff = F.lit(spark.range(1).select(F.add_months(today, -keep_months).alias("d")).first()["d"])
-    keys = list(keys)
     live = spark.table(table)
     is_old = F.col(date_column) < cutoff
     old = live.where(is_old)
     result = {"table": table, "old_rows": old.count(), "archived": False, "pruned": False}
     if not result["old_rows"]:
         return result
-    if spark.catalog.tableExists(archive):
-        done = spark.table(archive).where(is_old).select(*keys)
-        old.join(done, keys, "left_anti").write.mode("append").saveAsTable(archive)
-    else:
-        old.write.mode("errorifexists").saveAsTable(archive)
+
+    def missing() -> DataFrame:
+        done = read()
+        return old if done is None else old.exceptAll(done.where(is_old).select(*old.columns))
+
+    write(missing())
     result["archived"] = True
-    done = spark.table(archive).where(is_old).select(*keys)
-    if not old.join(done, keys, "left_anti").isEmpty():
+    if not missing().isEmpty():
         raise ArchiveIncomplete(f"{archive} lacks old rows of {table}")
     replace_table(delete_where(live, is_old), table)
     return result | {"pruned": True}

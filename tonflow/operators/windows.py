@@ -47,6 +47,15 @@ def share_of(
     return df.withColumn(total, steady(whole, 6)).withColumn(share, percent(value, total, digits))
 
 
+def share_of_total(df: DataFrame, value: str, total: str, share: str, digits: int = 2) -> DataFrame:
+    """Total of all rows beside every row, and the row's share of it in percent.
+
+    The total is a scalar subquery: no window that would gather all rows in one task.
+    """
+    whole = df.agg(F.sum(value)).scalar()
+    return df.withColumn(total, steady(whole, 6)).withColumn(share, percent(value, total, digits))
+
+
 def moving_average(
     df: DataFrame,
     value: str,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tonflow.functions import codes, numbers, times
 from tonflow.operators.ordered import counter_delta
-from tonflow.operators.windows import first_per_key, share_of
+from tonflow.operators.windows import first_per_key, share_of_total
 from tonflow.settings import DEFAULTS, Settings
 
 # --- Fixed values -----------------------------------------------------------------
@@ -40,7 +40,7 @@ def tonnage_silver(logs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
     Of several readings of one place and time the latest received stays.
     """
-    typed = logs.distinct().withColumns(
+    typed = logs.withColumns(
         {"timestamp_data_ts": F.col("timestamp_data").cast("timestamp"),
          "created_at_ts": F.col("created_at").cast("timestamp")}
         | {c: F.col(c).try_cast("double") for c in TOTALISERS}
@@ -184,9 +184,8 @@ def flow_mode_share(tonnage: DataFrame) -> DataFrame:
         .groupBy("flow_mode")
         .agg(numbers.rsum("tonnage_delta", 2).alias("total_tonnage"), F.count(F.lit(1)).alias("reading_count"))
         .where("total_tonnage > 0")
-        .withColumn("_all", F.lit(1))
     )
-    return share_of(modes, "total_tonnage", ["_all"], "grand_total", "share_pct").drop("_all")
+    return share_of_total(modes, "total_tonnage", "grand_total", "share_pct")
 
 
 def output_summary(output: DataFrame, running: DataFrame) -> DataFrame:

@@ -145,11 +145,11 @@ def with_geofences(pairs: DataFrame, geofences: DataFrame) -> DataFrame:
     )
 
 
-def truck_pairs(located: DataFrame, one_per_truck: bool = True) -> DataFrame:
+def truck_pairs(located: DataFrame, one_per_truck: bool = False) -> DataFrame:
     """Trucks that follow each other in the same five seconds and direction (batch form).
 
-    With ``one_per_truck`` only a truck's last position of the window counts; without it a
-    truck that reports twice can be paired with itself.
+    All positions count, so a truck that reports twice can be paired with itself; with
+    ``one_per_truck`` only a truck's last position of the window does.
     """
     rows = driving_order(located).withColumn("_window", F.window("devicetime", PAIR_WINDOW)["start"])
     if one_per_truck:
@@ -168,7 +168,7 @@ def vehicle_spacing(
     devices: DataFrame,
     lanes: DataFrame,
     geofences: DataFrame | None = None,
-    one_per_truck: bool = True,
+    one_per_truck: bool = False,
     pick: str = "name",
 ) -> DataFrame:
     """Spacing and time to contact of following trucks, per geofence when those are given."""

@@ -66,8 +66,9 @@ def increment(
 
     Rows sharing the largest value can arrive after it was read.  ``overlap`` looks back
     that far and leaves out what the target already has, compared by ``keys`` and
-    ``column``; only that slice of the target is scanned.  ``limit`` takes the oldest rows
-    only (bounded batches).
+    ``column``; only that slice of the target is scanned.  ``limit`` takes about so many of
+    the oldest rows: all that share the last of these rows' value come along, since the next
+    run starts behind it.
     """
     floor = target.agg(F.max(column)).scalar()
     if overlap is not None:
@@ -79,7 +80,8 @@ def increment(
         seen = target.where(F.col(column) > floor).select(*keys, column)
         fresh = fresh.join(seen, [*keys, column], "left_anti")
     if limit is not None:
-        fresh = fresh.orderBy(column, *(keys or [])).limit(limit)
+        edge = fresh.where(F.col(column).isNotNull()).select(column).orderBy(column).limit(limit).agg(F.max(column))
+        fresh = fresh.where(F.col(column).isNull() | (F.col(column) <= edge.scalar()))
     return fresh
 
 

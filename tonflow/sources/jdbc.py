@@ -56,15 +56,18 @@ def newer_than(
 ) -> str:
     """Subquery for rows past a watermark, evaluated by the database.
 
-    With ``limit`` the oldest ``limit`` rows come first, so repeated runs walk forward in
-    bounded batches; without it no order is asked for, as Spark would not keep it.
+    With ``limit`` a run takes the oldest ``limit`` rows and all that share the last one's
+    value, so repeated runs walk forward and leave none behind.
     """
-    query = f"SELECT * FROM {table}"
+    past = ""
     if watermark is not None:
         literal = str(watermark).replace("'", "''")
-        query += f" WHERE {column} > '{literal}'"
+        past = f"{column} > '{literal}'"
+    conditions = [past] if past else []
     if limit is not None:
-        query += f" ORDER BY {column} LIMIT {int(limit)}"
+        oldest = f"SELECT {column} AS edge FROM {table}{past and ' WHERE ' + past} ORDER BY {column} LIMIT {int(limit)}"
+        conditions.append(f"{column} <= (SELECT MAX(edge) FROM ({oldest}) AS oldest)")
+    query = f"SELECT * FROM {table}" + (" WHERE " + " AND ".join(conditions) if conditions else "")
     return f"({query}) AS {alias}"
 
 

@@ -39,7 +39,7 @@ def checkpoint_ready(spark: SparkSession) -> bool:
     if configured:
         context.setCheckpointDir(configured)
         return True
-    if context.master.startswith("local"):
+    if context.master == "local" or context.master.startswith("local["):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tonflow-checkpoint-"))
         return True
     return False
@@ -57,10 +57,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     Columnar files, so later plans still prune columns, push filters down and size their
     joins from real statistics; lost executors cost nothing but a re-read.  Without a
-    shared folder the input is returned and Spark recomputes it where needed.
+    shared folder this fails: recomputing the input for each plan is no substitute.
     """
     folder = shared_folder(df.sparkSession)
     if folder is None:
-        return df
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     df.write.mode("errorifexists").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

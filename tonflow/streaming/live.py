@@ -38,25 +38,27 @@ def spacing_stream(
     lanes: DataFrame,
     geofences: DataFrame | None = None,
     lateness: str = LATENESS,
+    one_per_truck: bool = False,
 ) -> DataFrame:
     """Spacing of following trucks as windows of five seconds close (append output).
 
-    Finding the lane is stateless: an equi-join with the static grid of lanes.  Two
-    aggregations follow in one query.  The first keeps a truck's last position per window
-    and direction, so that however often a truck reports it is one element of the second,
-    which puts the trucks of a window and direction in driving order.  The list is thus
-    bounded by the trucks driving one way within five seconds.
+    Finding the lane is stateless: an equi-join with the static grid of lanes.  The positions
+    of a window and direction are then put in driving order.  With ``one_per_truck`` an
+    aggregation before that keeps a truck's last position only, so that the list is bounded
+    by the trucks driving one way within five seconds, however often they report.
     """
     typed = event_time(tracking.typed_positions(positions), "devicetime", lateness)
     located = tracking.located_positions(typed, devices, tracking.lane_lookup(lanes))
     ordered = tracking.driving_order(located)
-    last = F.max_by(F.struct(*tracking.TRUCK_FIELDS), F.struct("devicetime", "id"))
-    per_truck = ordered.groupBy(
-        F.window("devicetime", tracking.PAIR_WINDOW).alias("_w"), "jalur_arah", "truk"
-    ).agg(last.alias("_truck"))
-    queues = per_truck.groupBy(
-        F.window(F.window_time("_w"), tracking.PAIR_WINDOW).alias("_w2"), "jalur_arah"
-    ).agg(F.sort_array(F.collect_list("_truck")).alias("_queue"))
+    position, when = F.struct(*tracking.TRUCK_FIELDS), F.window("devicetime", tracking.PAIR_WINDOW)
+    if one_per_truck:
+        ordered = ordered.groupBy(when.alias("_w"), "jalur_arah", "truk").agg(
+            F.max_by(position, F.struct("devicetime", "id")).alias("_truck")
+        )
+        position, when = F.col("_truck"), F.window(F.window_time("_w"), tracking.PAIR_WINDOW)
+    queues = ordered.groupBy(when.alias("_w2"), "jalur_arah").agg(
+        F.sort_array(F.collect_list(position)).alias("_queue")
+    )
     following = F.arrays_zip(
         F.slice("_queue", F.lit(1), F.size("_queue") - 1).alias("behind"),
         F.slice("_queue", F.lit(2), F.size("_queue") - 1).alias("ahead"),

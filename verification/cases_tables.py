@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from tonflow.functions import codes, numbers, text, times
 from tonflow.operators import ordered, quality, tables, windows
 from tonflow.sources.files import file_inventory
 from tonflow.sources.increments import add_batch_columns, increment, with_columns_of
+from tonflow.sources.session import cut_lineage
 from verification import inputs
 from verification.ctes import pct, rd
 from verification.registry import case
@@ -227,8 +229,8 @@ def increment_overlap(spark, d):
 
 @case(
     "increment_batch",
-    """SELECT event_id, ts FROM events WHERE ts > (SELECT max(ts) FROM events WHERE event_type = 'signup' AND ts < TIMESTAMP '2024-01-15')
-       ORDER BY ts, event_id LIMIT 100""",
+    """WITH f AS (SELECT event_id, ts FROM events WHERE ts > (SELECT max(ts) FROM events WHERE event_type = 'signup' AND ts < TIMESTAMP '2024-01-15'))
+       SELECT * FROM f WHERE ts <= (SELECT max(ts) FROM (SELECT ts FROM f ORDER BY ts LIMIT 100))""",
 )
 def increment_batch(spark, d):
     e = inputs.table(spark, d, "events").select("event_id", "ts", "event_type")
@@ -236,6 +238,18 @@ def increment_batch(spark, d):
     return increment(e, loaded, "ts", keys=["event_id"], limit=100).drop("event_type")
 
 
+@case("increment_walk", "SELECT event_id, date_trunc('week', ts) AS ts FROM events")
+def increment_walk(spark, d):
+    """All events in batches over times so coarse that most rows tie, none left behind."""
+    e = inputs.table(spark, d, "events").select("event_id", F.date_trunc("week", "ts").alias("ts"))
+    loaded = e.limit(0)
+    while True:
+        batch = cut_lineage(increment(e, loaded, "ts", limit=100))
+        if batch.isEmpty():
+            return loaded
+        loaded = loaded.unionByName(batch)
+
+
 @case(
     "columns_whitelist",
     "SELECT p_partkey, p_name, CAST(NULL AS VARCHAR) AS p_colour, CAST(NULL AS DOUBLE) AS p_weight FROM part",
@@ -408,3 +422,58 @@ def norm_codes(spark, d):
         text.group_prefix(F.concat(F.lit(" "), F.col("unit"))).alias("grouped"),
         F.array_join(text.id_list(F.concat(F.lit("["), (n % 9).cast("string"), F.lit(", 12, x]"))), ",").alias("ids"),
     )
+
+
+# --- tables in the catalog ------------------------------------------------------------
+
+
+def own_name(what: str) -> str:
+    return f"{what}_{uuid.uuid4().hex[:10]}"
+
+
+DATED = """SELECT CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderkey // 2 END AS id, CAST(o_orderdate AS DATE) AS day FROM orders
+    UNION ALL SELECT NULL, CAST(o_orderdate AS DATE) FROM orders WHERE o_orderkey % 10 = 0"""
+
+
+@case(
+    "archive_prune",
+    """SELECT CASE WHEN day < (SELECT max(day) FROM dated) - INTERVAL 6 MONTH THEN 'archive' ELSE 'live' END AS place, id, day FROM dated
+       UNION ALL SELECT 'archive', o_orderkey // 2, DATE '1980-01-01' FROM orders WHERE o_orderkey % 2 = 0""",
+    dated=DATED,
+)
+def archive_prune(spark, d):
+    """Old rows move to an archive that already holds other rows of the same keys; keys repeat and lack."""
+    orders = inputs.table(spark, d, "orders")
+    key = F.when(F.col("o_orderkey") % 10 != 0, F.floor(F.col("o_orderkey") / 2))
+    rows = orders.select(key.alias("id"), F.to_date("o_orderdate").alias("day"))
+    rows = rows.unionByName(rows.where("id IS NULL"))
+    live, archive = own_name("live"), own_name("archive")
+    tables.write_table(rows, live)
+    before = orders.where("o_orderkey % 2 = 0").select(F.floor(F.col("o_orderkey") / 2).alias("id"), F.to_date(F.lit("1980-01-01")).alias("day"))
+    tables.write_table(before, archive)
+    newest = rows.agg(F.max("day")).first()[0]
+    tables.archive_and_prune(spark, live, archive, "day", 6, str(newest))
+    both = [spark.table(t).select(F.lit(p).alias("place"), "id", "day") for p, t in (("archive", archive), ("live", live))]
+    out = cut_lineage(both[0].unionByName(both[1]))
+    for name in (live, archive):
+        tables.drop_table(spark, name)
+    return out
+
+
+@case(
+    "upsert_partitioned",
+    """SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, 'o_orderstatus' AS partitions
+       FROM orders UNION ALL SELECT -1 - o_orderkey, o_orderpriority, 'X', 'o_orderstatus' FROM orders WHERE o_orderkey % 5 = 0""",
+)
+def upsert_partitioned(spark, d):
+    """Rows change and move to another partition, new ones come, and the table stays partitioned."""
+    orders = inputs.table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    name = own_name("orders")
+    tables.write_table(orders, name, partition_by=["o_orderstatus"])
+    changed = orders.where("o_orderkey % 5 = 0").withColumn("o_orderstatus", F.lit("X"))
+    changed = changed.unionByName(changed.withColumn("o_orderkey", -1 - F.col("o_orderkey")))
+    tables.upsert_table(changed, name, ["o_orderkey"])
+    parts = ",".join(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
+    out = cut_lineage(spark.table(name).withColumn("partitions", F.lit(parts)))
+    tables.drop_table(spark, name)
+    return out

@@ -59,7 +59,7 @@ GEO = {
     "queued": """
         SELECT *, lead(truk) OVER q AS truk_depan, lead(id) OVER q AS id2, lead(latitude) OVER q AS lat2, lead(longitude) OVER q AS lon2,
                lead(speed) OVER q AS speed2, lead(jalur) OVER q AS jalur2
-        FROM last_of_truck WINDOW q AS (PARTITION BY w, jalur_arah ORDER BY k1 NULLS FIRST, k2 NULLS FIRST, truk, id)""",
+        FROM located WINDOW q AS (PARTITION BY w, jalur_arah ORDER BY k1 NULLS FIRST, k2 NULLS FIRST, truk, id)""",
     "pairs": f"""
         SELECT truk, truk_depan, CASE WHEN jalur <> jalur2 THEN 'Beda Jalur' ELSE 'Sejalur' END AS sejalur, jalur, jalur2,
                round(gap, 0) AS jarak,
@@ -93,10 +93,13 @@ def lane_match(spark, d):
     return one.select("id", "lane_id", "jalur", F.round(F.round("lane_dist_m", 9), 3).alias("metres"))
 
 
-def spacing(spark, d, fences: bool = True):
+LAST = {"queued": GEO["queued"].replace("FROM located WINDOW", "FROM last_of_truck WINDOW")}
+
+
+def spacing(spark, d, fences: bool = True, one_per_truck: bool = False):
     return tracking.vehicle_spacing(
         inputs.positions(spark, d), inputs.devices(spark, d), inputs.lanes(spark, d),
-        inputs.geofences(spark, d) if fences else None,
+        inputs.geofences(spark, d) if fences else None, one_per_truck,
     )
 
 
@@ -111,6 +114,12 @@ def truck_pairs(spark, d):
     return spacing(spark, d, fences=False).select(*PAIR_COLUMNS)
 
 
+@geo_case("truck_pairs_last", f"SELECT {', '.join(PAIR_COLUMNS)} FROM pairs", **LAST)
+def truck_pairs_last(spark, d):
+    """Only a truck's last position of a window counts."""
+    return spacing(spark, d, fences=False, one_per_truck=True).select(*PAIR_COLUMNS)
+
+
 @geo_case("vehicle_spacing", f"SELECT {', '.join(PAIR_COLUMNS)}, geofence_name FROM fenced")
 def vehicle_spacing(spark, d):
     return spacing(spark, d).select(*PAIR_COLUMNS, "geofence_name")
@@ -239,6 +248,29 @@ def stream_daily_speed(spark, d):
     return speed.daily_speed_trend(drained(lambda out, state: live.to_files(silver, out, state), spark))
 
 
+CLOSED = "w + INTERVAL 5 SECOND <= (SELECT max(devicetime) FROM pos) - INTERVAL 30 SECOND"
+
+
+@geo_case("stream_spacing_last", f"SELECT {', '.join(PAIR_COLUMNS)} FROM pairs WHERE {CLOSED}", **LAST)
+def stream_spacing_last(spark, d):
+    positions = inputs.positions_of(event_stream(spark, d))
+    lanes = inputs.lanes(spark, d)
+    pairs = live.spacing_stream(positions, inputs.devices(spark, d), lanes, one_per_truck=True).select(*PAIR_COLUMNS)
+    return drained(lambda out, state: live.to_files(pairs, out, state), spark)
+
+
+@geo_case(
+    "stream_spacing_fenced",
+    f"SELECT {', '.join(PAIR_COLUMNS)}, geofence_name FROM fenced WHERE {CLOSED}",
+)
+def stream_spacing_fenced(spark, d):
+    """The stream with a row for each geofence that the follower is in."""
+    pairs = live.spacing_stream(
+        inputs.positions_of(event_stream(spark, d)), inputs.devices(spark, d), inputs.lanes(spark, d), inputs.geofences(spark, d)
+    ).select(*PAIR_COLUMNS, "geofence_name")
+    return drained(lambda out, state: live.to_files(pairs, out, state), spark)
+
+
 @geo_case(
     "stream_spacing",
     f"SELECT {', '.join(PAIR_COLUMNS)} FROM pairs WHERE w + INTERVAL 5 SECOND <= (SELECT max(devicetime) FROM pos) - INTERVAL 30 SECOND",
