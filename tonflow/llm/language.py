@@ -88,7 +88,7 @@ def learn(
 class _Scorer(dict):
     """Row of a word in ``table``; rows of unseen words are made on demand, ``room`` at most."""
 
-    def __init__(self, model: LanguageModel, room: int = 60_000, discount: float = 0.4):
+    def __init__(self, model: LanguageModel, room: int = 100_000, discount: float = 0.4):
         super().__init__((k, v) for k, v in model.entries.items() if ":" not in k)
         self.model, self.room, self.discount = model, room, discount
         self.table = np.concatenate([model.logs, np.zeros((room, len(model.languages)), np.float32)])
@@ -115,13 +115,13 @@ class _Scorer(dict):
 
     def sums(self, words: list[str]) -> np.ndarray:
         total = np.zeros(len(self.model.languages))
-        step = self.room // 2
-        for at in range(0, len(words), step):
-            if len(self.own) + step > self.room:
+        for at in range(0, len(words), self.room):
+            some = words[at : at + self.room]
+            if len(self.own) + len(some) > self.room:
                 for word in self.own:
                     del self[word]
                 self.own.clear()
-            rows = list(map(self.__getitem__, words[at : at + step]))
+            rows = np.fromiter(map(self.__getitem__, some), np.int64, len(some))
             total += self.table[rows].sum(axis=0, dtype=np.float64)
         return total
 
