@@ -62,27 +62,44 @@ def learn(
     )
     gram_counts = spread.groupBy("language", "entry").agg(F.sum("n").alias("n"))
 
-    def frequent(counts: DataFrame, most: int) -> list:
-        per_entry = counts.groupBy("entry").agg(
-            F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("language", "n"))).alias("by")
-        )
-        return per_entry.orderBy(F.desc("total"), "entry").limit(most).select("entry", "by").collect()
-
     totals = {r[0]: r[1] for r in counted.groupBy("language").agg(F.sum("n")).collect()}
     languages = sorted(totals)
-    kinds = [frequent(counted, most_words), frequent(gram_counts, most_grams)]
-    entries, logs = {}, []
-    per_gram = np.zeros((longest + 1, len(languages)))
-    for row in kinds[1]:
-        per_gram[int(row["entry"][0])] += [row["by"].get(x, 0) for x in languages]
-    for kind in kinds:
-        for row in kind:
-            gram = kind is kinds[1]
-            whole = per_gram[int(row["entry"][0])] if gram else np.array([totals[x] for x in languages], float)
-            counts = np.array([row["by"].get(x, 0) for x in languages], float)
-            entries[row["entry"]] = len(logs)
-            logs.append(np.log((counts + 0.1) / (whole + 0.1 * max(len(kind), 1))))
-    return LanguageModel(languages, entries, np.array(logs, np.float32).reshape(len(logs), len(languages)), longest)
+    words_kept = _frequent(counted, languages, most_words)
+    grams_kept = _frequent(gram_counts, languages, most_grams)
+    entries = {e: i for i, e in enumerate(words_kept[0] + grams_kept[0])}
+    order = np.array([int(e[0]) for e in grams_kept[0]], np.int64)
+    per_size = np.zeros((longest + 1, len(languages)))
+    np.add.at(per_size, order, grams_kept[1])
+    whole = [np.array([totals[x] for x in languages], float), per_size[order]]
+    logs = [
+        np.log((n + 0.1) / (w + 0.1 * max(len(n), 1)))
+        for n, w in zip((words_kept[1], grams_kept[1]), whole, strict=True)
+    ]
+    logs = np.concatenate(logs).astype(np.float32)
+    return LanguageModel(languages, entries, logs, longest)
+
+
+def _frequent(counts: DataFrame, languages: list[str], most: int) -> tuple[list[str], np.ndarray]:
+    """The ``most`` entries of the highest totals, and their counts by language.
+
+    How many entries have which total tells where to cut, so that only what is kept is sent to
+    the driver; of the entries at the cut the first by spelling are kept.
+    """
+    by = [F.sum(F.when(F.col("language") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(languages)]
+    entries = stored(counts.groupBy("entry").agg(F.sum("n").alias("total"), *by))
+    sizes = entries.groupBy("total").agg(F.count("*").alias("n"))
+    cut, room = 0, most
+    for r in sizes.orderBy(F.desc("total")).toLocalIterator():
+        if r["n"] > room:
+            cut = r["total"]
+            break
+        room -= r["n"]
+    kept = entries.where(F.col("total") > cut).toArrow()
+    if cut:
+        kept = pa.concat_tables([kept, entries.where(F.col("total") == cut).orderBy("entry").limit(room).toArrow()])
+    kept = kept.sort_by([("total", "descending"), ("entry", "ascending")])
+    counted = [kept[f"n{i}"].to_numpy() for i in range(len(languages))]
+    return kept["entry"].to_pylist(), np.array(counted, float).T.reshape(kept.num_rows, len(languages))
 
 
 class _Scorer(dict):
