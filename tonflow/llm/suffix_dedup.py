@@ -320,7 +320,8 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     bodies = _tables(docs.select(doc_id, text), text)
     found = stored(_find_anchors(bodies, text, length))
     twice = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("a"), F.max("context").alias("b"))
-    twice = twice.where("n > 1").select("gram", (F.col("a") != F.col("b")).alias("many"))
+    # stored, so that the join below has nothing but exchanges under it and a hot anchor can be split
+    twice = stored(twice.where("n > 1").select("gram", (F.col("a") != F.col("b")).alias("many")))
     repeated = stored(found.join(twice, "gram"))
     same = repeated.where(~F.col("many")).select(
         "hash", "bytes", F.col("first").alias("low"), (F.col("first") + F.col("windows") - 1 + length).alias("high")
