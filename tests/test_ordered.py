@@ -113,3 +113,11 @@ def test_row_numbers_are_a_permutation(spark):
     df = spark.createDataFrame([(float(i * 37 % 101),) for i in range(101)], "x double")
     got = ordered.row_numbers(df, ["x"], "n").collect()
     assert all(r["n"] == r["x"] + 1 for r in got)
+
+
+def test_row_numbers_over_slots_of_text_and_nulls(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "ROWS_PER_SLOT", 10)
+    rows = [(f"{i % 5}" if i % 7 else None, i) for i in range(200)]
+    got = ordered.row_numbers(spark.createDataFrame(rows, "a string, b long"), ["a", "b"], "n").collect()
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    assert {(r["a"], r["b"]): r["n"] for r in got} == {r: i + 1 for i, r in enumerate(want)}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tonflow.functions.codes import bands
 from tonflow.functions.numbers import steady
-from tonflow.operators.ordered import row_numbers, split_points
+from tonflow.operators.ordered import row_numbers
 
 # --- Fixed values -----------------------------------------------------------------
 STRUCTURE_WEIGHT = 0.4
@@ -79,11 +79,10 @@ def compare_cells(
     NULLs agree.
     """
     both = sorted(column_sets(left, right)[0])
-    points = split_points(left, order[0])
     wanted = list(dict.fromkeys([*both, *order]))
 
     def placed(df: DataFrame, prefix: str) -> DataFrame:
-        numbered = row_numbers(df.select(*wanted), order, "_pos", points)
+        numbered = row_numbers(df.select(*wanted), order, "_pos")
         return numbered.select("_pos", *[F.col(c).cast("string").alias(prefix + c) for c in both])
 
     aligned = placed(left, "l_").join(placed(right, "r_"), "_pos")

@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tonflow.functions.numbers import col
+from tonflow.sources.session import cut_lineage
 
 SALTS = 256
 
@@ -310,32 +311,24 @@ def running_total(
     )
 
 
-def split_points(df: DataFrame, column: str, slots: int = 256) -> list:
-    """Values that cut a numeric or time column into about equal slots.
-
-    One aggregate pass; only the ``slots`` points come to the driver.
-    """
-    dtype = dict(df.dtypes)[column]
-    number = F.unix_micros(F.col(column).cast("timestamp")) if "timestamp" in dtype or dtype == "date" else F.col(column)
-    fractions = [i / slots for i in range(1, slots)]
-    found = df.agg(F.percentile_approx(number, fractions, 10_000).alias("p")).first()["p"]
-    return sorted(set(found or []))
+ROWS_PER_SLOT = 200_000
 
 
-def row_numbers(
-    df: DataFrame, order: Sequence[str], name: str = "row_number", points: list | None = None
-) -> DataFrame:
+def row_numbers(df: DataFrame, order: Sequence[str], name: str = "row_number") -> DataFrame:
     """Position of every row under a total order, from 1, without one global sort task.
 
-    ``points`` cut the first order column into slots (default: from the data).  Each slot
-    is numbered on its own and starts after the rows of the slots before it.
+    Rows are dealt to slots by ranges of the whole order key, of whatever orderable types, NULLs
+    first; the number of slots follows the number of rows.  The dealt rows are written
+    once, so that all steps see the same slots.  Each slot is numbered on its own and starts
+    after the rows of the slots before it.  Rows that tie on the whole key share a slot.
     """
-    first = order[0]
-    points = split_points(df, first) if points is None else points
-    dtype = dict(df.dtypes)[first]
-    number = F.unix_micros(F.col(first).cast("timestamp")) if "timestamp" in dtype or dtype == "date" else F.col(first)
-    cuts = F.array(*[F.lit(p) for p in points]) if points else F.array().cast("array<double>")
-    slot = F.coalesce(F.size(F.filter(cuts, lambda p: p <= number)), F.lit(-1))
-    ones = df.withColumn("_one", F.lit(1))
-    numbered = running_total(ones, order, "_one", slot, name=name)
-    return numbered.withColumn(name, F.col(name).cast("long")).drop("_one")
+    order = list(order)
+    slots = max(1, -(-df.count() // ROWS_PER_SLOT))
+    dealt = cut_lineage(df.repartitionByRange(slots, *order).withColumn("_slot", F.spark_partition_id()))
+    sizes = dealt.groupBy("_slot").agg(F.count(F.lit(1)).alias("_rows"))
+    # one row per slot
+    earlier = W.partitionBy(F.lit(0)).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("_slot", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    own = F.row_number().over(W.partitionBy("_slot").orderBy(*order))
+    numbered = dealt.withColumn("_own", own).join(starts, "_slot")
+    return numbered.select(*df.columns, (F.col("_start") + F.col("_own")).cast("long").alias(name))

@@ -165,6 +165,15 @@ def running_total(spark, d):
     return rows.select("event_id", numbers.steady("balance", 4).alias("balance"))
 
 
+@case(
+    "row_numbers_text",
+    "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderkey) AS position FROM orders",
+)
+def row_numbers_text(spark, d):
+    o = inputs.table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    return ordered.row_numbers(o, ["o_orderpriority", "o_orderkey"], "position").drop("o_orderpriority")
+
+
 @case(
     "row_numbers",
     "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS position FROM orders",
