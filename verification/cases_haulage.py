@@ -11,6 +11,7 @@ from tonflow.plans import visits as visit_plans
 from tonflow.plans import weighing
 from tonflow.plans.checks import production_checks
 from tonflow.plans.pipeline import Silver, build_gold, build_silver
+from tonflow.settings import DEFAULTS
 from tonflow.sources.session import cut_lineage
 from tonflow.sources.tables import estimated_shipment
 from verification import inputs
@@ -400,6 +401,28 @@ def suggestion_top3(spark, d):
     return gold(spark, d)["suggestion_daily"].select(*TOP_COLUMNS)
 
 
+ANSWERED = "candidate_rank = 2 AND day(production_date) % 2 = 0"
+
+
+@case(
+    "suggestion_merged",
+    f"""SELECT * FROM ({TOP_SQL}) WHERE production_date NOT IN (SELECT production_date FROM candidates WHERE {ANSWERED})
+        UNION ALL SELECT c.production_date, 1, c.candidate_code, c.category, b.entity, 'model', b.expected_gain_ton, 'LOW', b.priority_score, 'MODEL'
+        FROM candidates c JOIN (SELECT * FROM candidates QUALIFY row_number() OVER (
+                 PARTITION BY production_date, candidate_code ORDER BY candidate_rank) = 1) b USING (production_date, candidate_code)
+        WHERE c.candidate_rank = 2 AND day(c.production_date) % 2 = 0""",
+)
+def suggestion_merged(spark, d):
+    """Days that a model answered use its answer, all others the rules; figures come from the candidates."""
+    candidates = gold(spark, d)["suggestion_candidates"]
+    rules = suggestions.rule_suggestions(candidates, DEFAULTS)
+    answers = rules.where("rank = 2 AND day(production_date) % 2 = 0").withColumns(
+        {"rank": F.lit(1), "title": F.lit("model"), "expected_gain_ton": F.lit(-1.0), "priority": F.lit("LOW"),
+         "generated_by": F.lit("MODEL")}
+    )
+    return suggestions.top_suggestions(candidates, answers).select(*TOP_COLUMNS)
+
+
 @case("suggestion_payload")
 def suggestion_payload(spark, d):
     marts_ = gold(spark, d)
