@@ -32,7 +32,7 @@ _NEVER = 1 << 60
 class _Cache(dict):
     """Packed ids by piece; long pieces and those beyond ``most`` are computed anew."""
 
-    def __init__(self, coder: BytePairs, most: int = 200_000, longest: int = 64):
+    def __init__(self, coder: BytePairs, most: int = 100_000, longest: int = 64):
         super().__init__()
         self.coder, self.most, self.longest = coder, most, longest
 
@@ -110,7 +110,7 @@ class BytePairs:
     def may_follow(self, left: int, right: int) -> bool:
         known = self.follows.get((left, right))
         if known is None:
-            if len(self.follows) > 500_000:
+            if len(self.follows) >= 100_000:
                 self.follows.clear()
             known = self.follows[left, right] = self._border_holds(left, right)
         return known

@@ -53,7 +53,7 @@ def _parameters() -> tuple[np.ndarray, np.ndarray]:
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) >= 100_000:
             self.clear()
         h = xxhash.xxh3_64_intdigest(word)
         if len(word) <= 64:

@@ -378,9 +378,10 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 200) -> DataFrame:
-    """Add ``repeats``, a struct: kept (binary), n_bytes, n_removed, n_spans.
+    """Add ``repeats``, a struct: kept (binary), text, n_bytes, n_removed, n_spans.
 
-    ``kept`` are the UTF-8 bytes that remain, joined; a cut may go through a character.  A
+    ``kept`` are the UTF-8 bytes that remain, joined; a cut may go through a character, of
+    which ``text``, the same as text, drops what is left.  A
     null text counts as empty and stays nothing; a repeated row's text, if it has ``length``
     bytes, is removed from all of its rows.  All columns stay, whatever their names; an empty
     table gives no rows.
@@ -390,10 +391,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     joined = rows.join(
         spans, (F.col("__hash") == F.col("hash")) & (F.col("__bytes") == F.col("bytes")), "left"
     )
-    result = F.arrow_udf(_cut, "kept binary, n_removed bigint, n_spans bigint")("__body", "spans")
+    result = F.arrow_udf(_cut, "kept binary, text string, n_removed bigint, n_spans bigint")("__body", "spans")
     return joined.select("__row.*", result.alias("__cut"), F.col("__bytes").cast("long").alias("__n")).select(
         *[f"`{c}`" for c in docs.columns if c != "repeats"],
-        F.struct("__cut.kept", F.col("__n").alias("n_bytes"), "__cut.n_removed", "__cut.n_spans").alias("repeats"),
+        F.struct("__cut.kept", "__cut.text", F.col("__n").alias("n_bytes"), "__cut.n_removed", "__cut.n_spans").alias("repeats"),
     )
 
 
@@ -412,11 +413,7 @@ def _cut(bodies: pa.Array, spans: pa.Array) -> pa.Array:
         removed.append(gone)
         runs.append(n)
     return pa.StructArray.from_arrays(
-        [pa.array(kept, pa.binary()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64())],
-        ["kept", "n_removed", "n_spans"],
+        [pa.array(kept, pa.binary()), pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()),
+         pa.array(removed, pa.int64()), pa.array(runs, pa.int64())],
+        ["kept", "text", "n_removed", "n_spans"],
     )
-
-
-def as_text(kept: pa.Array) -> pa.Array:
-    """Bytes as text; what a cut left of a character is dropped.  For ``F.arrow_udf``."""
-    return pa.array([x.decode("utf-8", "ignore") for x in kept.to_pylist()], pa.string())
