@@ -275,7 +275,8 @@ def _search_shard(rows: pa.Table, length: int) -> pa.Table:
     at = begin[owner] + place
     classes = equal_windows(text, length)[at]
     found = np.bincount(classes, weights=times[owner], minlength=1)
-    who, lo, hi = _runs(found[classes] > 1, owner, place)
+    # of a context that stands twice all windows are repeated, which needs no search
+    who, lo, hi = _runs((found[classes] > 1) & (times[owner] == 1), owner, place)
     grams, contexts = rows["gram"].to_numpy(), rows["context"].to_numpy()
     digest = [np.zeros(len(who), np.int64)] * 2
     parts = rows["parts"][0].as_py()
@@ -323,9 +324,6 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # stored, so that the join below has nothing but exchanges under it and a hot anchor can be split
     twice = stored(twice.where("n > 1").select("gram", (F.col("a") != F.col("b")).alias("many")))
     repeated = stored(found.join(twice, "gram"))
-    same = repeated.where(~F.col("many")).select(
-        "hash", "bytes", F.col("first").alias("low"), (F.col("first") + F.col("windows") - 1 + length).alias("high")
-    )
     contexts = stored(
         repeated.where("many")
         .groupBy("gram", "context")
@@ -369,12 +367,18 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     merged = lists.groupBy("gram", "range").applyInArrow(_merge_lists, "gram bigint, context bigint, low int, high int")
     runs = searched.where("weight = 0").select("gram", "context", "low", "high").unionByName(merged)
     every = contexts.where("times > 1").select("gram", "context", F.lit(0).alias("low"), (F.col("windows") - 1).alias("high"))
-    runs = runs.unionByName(every)
-    differing = repeated.where("many").join(runs, ["gram", "context"]).select(
-        "hash", "bytes", (F.col("first") + F.col("low")).alias("low"), (F.col("first") + F.col("high") + length).alias("high")
-    )
-    spans = same.unionByName(differing).groupBy("hash", "bytes").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
-    return spans
+    # one row per context, so that the join below gives one row per occurrence
+    runs = runs.unionByName(every).groupBy("gram", "context").agg(F.collect_set(F.struct("low", "high")).alias("runs"))
+
+    def span(low, high):
+        first = F.col("first")
+        return F.struct((first + low).cast("int").alias("low"), (first + high + length).cast("int").alias("high"))
+
+    whole = F.array(span(F.lit(0), F.col("windows") - 1))
+    same = repeated.where(~F.col("many")).select("hash", "bytes", whole.alias("spans"))
+    some = F.transform("runs", lambda r: span(r["low"], r["high"]))
+    differing = repeated.where("many").join(runs, ["gram", "context"]).select("hash", "bytes", some.alias("spans"))
+    return same.unionByName(differing).groupBy("hash", "bytes").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 200) -> DataFrame:
