@@ -206,7 +206,11 @@ def _tables(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _find_anchors(docs: DataFrame, text: str, length: int) -> DataFrame:
-    """(gram, context, hash, bytes, first, windows) of every text; alike texts of a task twice at most."""
+    """(gram, context, hash, bytes, firsts, windows) of every text; alike texts of a task twice at most.
+
+    A context that a text holds several times is one row with the list of its places, so a
+    passage that is common within texts is combined before the first shuffle.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: dict[tuple[int, int], int] = {}
@@ -232,18 +236,28 @@ def _find_anchors(docs: DataFrame, text: str, length: int) -> DataFrame:
                 part = np.searchsorted(ends, first, side="right")
                 owner = np.array(owners[lo:hi])[part]
                 first = first - np.r_[0, ends][part] + np.array(shifts[lo:hi])[part]
+                if not len(first):
+                    continue
+                by = np.lexsort((first, context, gram, owner))
+                gram, context, first, windows, owner = (x[by] for x in (gram, context, first, windows, owner))
+                differs = (np.diff(owner) != 0) | (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])
+                new = np.flatnonzero(np.r_[True, differs])
+                firsts = pa.ListArray.from_arrays(
+                    pa.array(np.r_[new, len(first)].astype(np.int32)), pa.array(first.astype(np.int32))
+                )
+                gram, context, windows, owner = gram[new], context[new], windows[new], owner[new]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)),
                         pa.array(np.array([k[0] for k in keys], np.int64)[owner]),
                         pa.array(np.array([k[1] for k in keys], np.int32)[owner]),
-                        pa.array(first.astype(np.int32)), pa.array(windows.astype(np.int32)),
+                        firsts, pa.array(windows.astype(np.int32)),
                     ],
-                    ["gram", "context", "hash", "bytes", "first", "windows"],
+                    ["gram", "context", "hash", "bytes", "firsts", "windows"],
                 )
 
     rows = docs.select("__body", "__hash", "__bytes")
-    return rows.mapInArrow(find, "gram bigint, context bigint, hash bigint, bytes int, first int, windows int")
+    return rows.mapInArrow(find, "gram bigint, context bigint, hash bigint, bytes int, firsts array<int>, windows int")
 
 
 def _batches(sizes: list[int]) -> Iterator[tuple[int, int]]:
@@ -320,7 +334,9 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     code_on_workers(docs.sparkSession)
     bodies = _tables(docs.select(doc_id, text), text)
     found = stored(_find_anchors(bodies, text, length))
-    twice = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("a"), F.max("context").alias("b"))
+    twice = found.groupBy("gram").agg(
+        F.sum(F.size("firsts")).alias("n"), F.min("context").alias("a"), F.max("context").alias("b")
+    )
     # stored, so that the join below has nothing but exchanges under it and a hot anchor can be split
     twice = stored(twice.where("n > 1").select("gram", (F.col("a") != F.col("b")).alias("many")))
     repeated = stored(found.join(twice, "gram"))
@@ -328,8 +344,8 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         repeated.where("many")
         .groupBy("gram", "context")
         .agg(
-            F.count("*").alias("times"), F.min("windows").alias("windows"),
-            F.min(F.struct("hash", "bytes", "first")).alias("at"),
+            F.sum(F.size("firsts")).alias("times"), F.min("windows").alias("windows"),
+            F.min(F.struct("hash", "bytes", F.col("firsts")[0].alias("first"))).alias("at"),
         )
         .select("gram", "context", "times", "windows", "at.*")
     )
@@ -367,16 +383,15 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     merged = lists.groupBy("gram", "range").applyInArrow(_merge_lists, "gram bigint, context bigint, low int, high int")
     runs = searched.where("weight = 0").select("gram", "context", "low", "high").unionByName(merged)
     every = contexts.where("times > 1").select("gram", "context", F.lit(0).alias("low"), (F.col("windows") - 1).alias("high"))
-    # one row per context, so that the join below gives one row per occurrence
+    # one row per context, so that the join below gives one row per context of a text
     runs = runs.unionByName(every).groupBy("gram", "context").agg(F.collect_set(F.struct("low", "high")).alias("runs"))
 
-    def span(low, high):
-        first = F.col("first")
+    def span(first, low, high):
         return F.struct((first + low).cast("int").alias("low"), (first + high + length).cast("int").alias("high"))
 
-    whole = F.array(span(F.lit(0), F.col("windows") - 1))
+    whole = F.transform("firsts", lambda f: span(f, F.lit(0), F.col("windows") - 1))
     same = repeated.where(~F.col("many")).select("hash", "bytes", whole.alias("spans"))
-    some = F.transform("runs", lambda r: span(r["low"], r["high"]))
+    some = F.flatten(F.transform("firsts", lambda f: F.transform("runs", lambda r: span(f, r["low"], r["high"]))))
     differing = repeated.where("many").join(runs, ["gram", "context"]).select("hash", "bytes", some.alias("spans"))
     return same.unionByName(differing).groupBy("hash", "bytes").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
