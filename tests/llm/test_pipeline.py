@@ -80,3 +80,24 @@ def test_links_from_80_percent(spark, tmp_path):
         return [(9_000_001, changed(text, 0.8, 0.84)), (9_000_002, changed(text, 0.7, 0.79))]
 
     check(spark, tmp_path, planted)
+
+
+def test_one_row_of_each_group(spark, tmp_path):
+    """Rows read in twice, copies without an id, and different similar texts with one id."""
+
+    def planted(text):
+        words = text.split(" ")
+        other, third = " ".join(words[::-1]), " ".join(words[1::2] + words[::2])
+        twice = [(9_000_001, other), (9_000_001, other), (9_000_002, other)]
+        return [*twice, (None, third), (None, third), (9_000_003, text), (9_000_003, changed(text, 0.9, 0.99))]
+
+    check(spark, tmp_path, planted)
+
+
+def test_one_row_whatever_the_other_columns(spark, edges):
+    twice = edges.unionByName(edges.withColumn("n_chars", edges.n_chars + 1)).unionByName(edges)
+    kept = corpus_pipeline.near_duplicates(spark, twice, FOLDER)
+    rows = [(r.doc_id, r.n_chars) for r in kept.collect()]
+    assert kept.columns == edges.columns
+    assert sorted(rows, key=str) == sorted([(1, 1), (3, None), (None, 5), (4, 0), (5, 3), (6, kept.where("doc_id = 6").first().n_chars),
+                                            (7, 7), (8, 13), (9, None)], key=str)

@@ -308,7 +308,9 @@ def near_duplicates(
     shingle and is linked with nothing; its component is its own id.  Null ids are documents
     like others, with a null component only where no linked document has an id; then all of
     these count as kept.  Rows alike in id and text get the same result each.  Extra columns are
-    left out.  ``carry_key`` adds the md5 of the text as ``text_key``.  An empty table gives no row.
+    left out.  ``carry_key`` adds the md5 of the text as ``text_key`` and a ``component_key`` that
+    all rows of a component have, those without an id, too; rows without shingles have one together
+    if they are alike in id and text.  An empty table gives no row.
     """
     rows = stored(signed(docs, doc_id, text))
     classes = stored(
@@ -344,12 +346,14 @@ def near_duplicates(
         joined = named.join(labels, named["class"] == labels["node"], "left")
         joined = joined.select("class", "first_id", F.coalesce("label", "class").alias("label"))
         least = joined.groupBy("label").agg(F.min("first_id").alias("component"))
-        named = joined.join(least, "label").select("class", "component")
+        named = joined.join(least, "label").select("class", "component", "label")
     else:
-        named = named.select("class", F.col("first_id").alias("component"))
+        named = named.select("class", F.col("first_id").alias("component"), F.col("class").alias("label"))
     out = rows.join(named, "class", "left")
     component = F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("id"))
-    extra = [F.col("key").alias("text_key")] if carry_key else []
+    own = F.concat_ws(":", F.lit("none"), F.col("id").cast("string"), F.col("key"))
+    together = F.when(F.col("size") > 0, F.hex("label")).otherwise(own)
+    extra = [F.col("key").alias("text_key"), together.alias("component_key")] if carry_key else []
     return out.select(
         F.col("id").alias(doc_id), F.col("size").alias("n_shingles"), component.alias("component_id"),
         F.col("id").eqNullSafe(component).alias("kept"), *extra,
