@@ -31,6 +31,20 @@ def test_bounded_model_and_cache(spark):
     assert small.predict(text) == whole.predict(text) == small.predict(text)
 
 
+def test_what_workers_hold_changes_no_score(spark, edges):
+    """Rare words of the model, unseen ones, and ones of which no n-gram is known."""
+    own = [(i, " ".join(w.split()[i % 5 :: 2]) + f" q{'uvwxyz'[i % 6] * 3} wassern maisons 漢字", x) for i, (x, w) in enumerate(WORDS.items())]
+    docs = corpus(spark).unionByName(spark.createDataFrame(own, "doc_id long, text string, lang string")).unionByName(
+        edges.select("doc_id", "text", "lang")
+    )
+    learnt = docs.where("doc_id is null or doc_id > 0")
+    asked = docs.unionByName(spark.createDataFrame([(-1, "unheard Жук wassern haus haus", None), (-2, "Жук", None)], docs.schema))
+    whole, small = language.learn(learnt), language.learn(learnt, most_words=5, most_grams=30)
+    assert whole.words is None and small.words is not None
+    want, got = (sorted(map(str, language.identify(asked, m).collect())) for m in (whole, small))
+    assert got == want
+
+
 def test_edges(spark, edges, none):
     model = language.learn(edges)
     rows = language.identify(edges, model).collect()

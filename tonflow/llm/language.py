@@ -3,23 +3,30 @@
 A word that was seen in training adds its log frequency in each language.  For a word never
 seen, its character n-grams answer instead: the longest length at which any of them is known,
 then the next shorter one, each step at a discount.
+
+A model holds its most frequent words and n-grams; the tables of all of them stay in Spark.
+Words that workers do not hold are looked up there, so what is held changes no score.
+Logarithms are whole multiples of ``1 / STEP``, so sums are exact in any order.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonflow.llm.common import code_on_workers, pieces, stored
 
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
+STEP = float(1 << 19)
 
 
 @dataclass(frozen=True)
@@ -29,6 +36,9 @@ class LanguageModel:
     """Row by word, or by ``n:`` and an n-gram of a word with its ends marked ``^`` and ``$``."""
     logs: np.ndarray
     longest: int
+    words: DataFrame | None = None
+    """All words with their logs, and ``grams`` likewise; None if ``entries`` has all of both."""
+    grams: DataFrame | None = None
 
 
 def learn(
@@ -41,52 +51,66 @@ def learn(
 ) -> LanguageModel:
     """Count words and n-grams of all labelled texts; rows without text or language don't count.
 
-    Counting covers every row.  The model keeps the most frequent words and the most
-    frequent n-grams (ties by spelling), since every worker holds it: its size is bounded by the
-    two parameters times the number of languages.  Words beyond are unseen words.
+    Counting covers every row, and every word and n-gram counts in the model.  Workers hold the
+    ``most_words`` most frequent words; where that or ``most_grams`` leaves any out,
+    ``identify`` looks up the others in tables.
     """
     words = labelled.where(F.col(language).isNotNull() & F.col(text).isNotNull()).select(
         F.col(language).alias("language"),
         F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"\p{L}+"), F.lit(0))).alias("entry"),
     )
     counted = stored(words.groupBy("language", "entry").agg(F.count("*").alias("n")))
+    spread = _spread(counted.where(F.length("entry") <= 60), "entry", longest, "language", "n")
+    gram_counts = spread.groupBy("language", "gram").agg(F.sum("n").alias("n")).withColumnRenamed("gram", "entry")
+    languages = sorted(r[0] for r in counted.select("language").distinct().collect())
+    all_words = _with_logs(counted, languages, F.lit(0))
+    all_grams = _with_logs(gram_counts, languages, _size("entry"))
+    words_kept, word_logs, words_whole = _frequent(all_words, len(languages), most_words)
+    grams_kept, gram_logs, grams_whole = _frequent(all_grams, len(languages), most_grams)
+    entries = {e: i for i, e in enumerate(words_kept + grams_kept)}
+    tables = () if words_whole and grams_whole else (all_words, all_grams)
+    return LanguageModel(languages, entries, np.concatenate([word_logs, gram_logs]), longest, *tables)
+
+
+def _size(entry: str) -> Column:
+    return F.substring_index(F.col(entry), ":", 1).cast("int")
+
+
+def _spread(rows: DataFrame, word: str, longest: int, *carry: str) -> DataFrame:
+    """A row ``gram`` for each n-gram at each place of a word; the columns of ``carry`` go along."""
+    marked = F.concat(F.lit("^"), F.col(word), F.lit("$"))
 
-    def grams(size: int):
-        marked = F.concat(F.lit("^"), F.col("entry"), F.lit("$"))
+    def grams(size: int) -> Column:
         starts = F.sequence(F.lit(1), F.length(marked) - size + 1)
         cut = F.transform(starts, lambda i: F.concat(F.lit(f"{size}:"), F.substring(marked, i, F.lit(size))))
         return F.when(F.length(marked) >= size, cut).otherwise(F.array().cast("array<string>"))
 
-    spread = counted.where(F.length("entry") <= 60).select(
-        "language", "n", F.explode(F.flatten(F.array(*[grams(k) for k in range(1, longest + 1)]))).alias("entry")
-    )
-    gram_counts = spread.groupBy("language", "entry").agg(F.sum("n").alias("n"))
-
-    totals = {r[0]: r[1] for r in counted.groupBy("language").agg(F.sum("n")).collect()}
-    languages = sorted(totals)
-    words_kept = _frequent(counted, languages, most_words)
-    grams_kept = _frequent(gram_counts, languages, most_grams)
-    entries = {e: i for i, e in enumerate(words_kept[0] + grams_kept[0])}
-    order = np.array([int(e[0]) for e in grams_kept[0]], np.int64)
-    per_size = np.zeros((longest + 1, len(languages)))
-    np.add.at(per_size, order, grams_kept[1])
-    whole = [np.array([totals[x] for x in languages], float), per_size[order]]
-    logs = [
-        np.log((n + 0.1) / (w + 0.1 * max(len(n), 1)))
-        for n, w in zip((words_kept[1], grams_kept[1]), whole, strict=True)
-    ]
-    logs = np.concatenate(logs).astype(np.float32)
-    return LanguageModel(languages, entries, logs, longest)
-
-
-def _frequent(counts: DataFrame, languages: list[str], most: int) -> tuple[list[str], np.ndarray]:
-    """The ``most`` entries of the highest totals, and their counts by language.
+    return rows.select(*carry, F.explode(F.flatten(F.array(*[grams(k) for k in range(1, longest + 1)]))).alias("gram"))
+
+
+def _with_logs(counts: DataFrame, languages: list[str], kind: Column) -> DataFrame:
+    """(entry, total, logs): per language the smoothed log frequency among entries of its kind."""
+    each = range(len(languages))
+    by = [F.sum(F.when(F.col("language") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(languages)]
+    entries = stored(counts.groupBy("entry").agg(F.sum("n").alias("total"), *by))
+    sums = [F.sum(f"n{i}").alias(f"n{i}") for i in each]
+    kinds = {r["kind"]: r for r in entries.groupBy(kind.alias("kind")).agg(F.count("*").alias("rows"), *sums).collect()}
+    rows = sum(r["rows"] for r in kinds.values())
+
+    def log(i: int) -> Column:
+        whole = F.create_map(*[F.lit(x) for k, r in kinds.items() for x in (k, r[f"n{i}"] + 0.1 * rows)])
+        return F.rint(F.log((F.col(f"n{i}") + 0.1) / whole[kind]) * STEP) / STEP
+
+    logs = F.array(*[log(i) for i in each] if kinds else []).cast("array<float>")
+    return entries.select("entry", "total", logs.alias("logs"))
+
+
+def _frequent(entries: DataFrame, width: int, most: int) -> tuple[list[str], np.ndarray, bool]:
+    """The ``most`` entries of the highest totals, their logs, and whether these are all.
 
     How many entries have which total tells where to cut, so that only what is kept is sent to
     the driver; of the entries at the cut the first by spelling are kept.
     """
-    by = [F.sum(F.when(F.col("language") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(languages)]
-    entries = stored(counts.groupBy("entry").agg(F.sum("n").alias("total"), *by))
     sizes = entries.groupBy("total").agg(F.count("*").alias("n"))
     cut, room = 0, most
     for r in sizes.orderBy(F.desc("total")).toLocalIterator():
@@ -97,9 +121,9 @@ def _frequent(counts: DataFrame, languages: list[str], most: int) -> tuple[list[
     kept = entries.where(F.col("total") > cut).toArrow()
     if cut:
         kept = pa.concat_tables([kept, entries.where(F.col("total") == cut).orderBy("entry").limit(room).toArrow()])
-    kept = kept.sort_by([("total", "descending"), ("entry", "ascending")])
-    counted = [kept[f"n{i}"].to_numpy() for i in range(len(languages))]
-    return kept["entry"].to_pylist(), np.array(counted, float).T.reshape(kept.num_rows, len(languages))
+    kept = kept.take(pa.compute.sort_indices(kept.select(["total", "entry"]), [("total", "descending"), ("entry", "ascending")]))
+    logs = np.array(pa.compute.list_flatten(kept["logs"]).to_numpy(), np.float32).reshape(kept.num_rows, width)
+    return kept["entry"].to_pylist(), logs, not cut
 
 
 class _Scorer(dict):
@@ -127,7 +151,8 @@ class _Scorer(dict):
             ]
             if found:
                 weight = self.discount ** (self.model.longest - size)
-                return weight * self.model.logs[found].mean(axis=0)
+                mean = self.model.logs[found].sum(axis=0, dtype=np.float64) / len(found)
+                return np.rint(weight * mean * STEP) / STEP
         return np.zeros(len(self.model.languages), np.float32)
 
     def sums(self, words: list[str]) -> np.ndarray:
@@ -142,15 +167,52 @@ class _Scorer(dict):
             total += self.table[rows].sum(axis=0, dtype=np.float64)
         return total
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def words(self, text: str | None) -> list[str]:
+        """The words of a text to be judged; none where it is ``und``."""
         words = _LETTERS.findall(text.lower()) if text else []
-        if not self.model.languages or not any(c.isalpha() for w in words for c in w):
-            return UNKNOWN, 0.0
-        # long texts would make every score 1: at most 25 words' worth of evidence counts
-        evidence = self.sums(words) / len(words) * min(len(words), 25)
-        odds = np.exp(evidence - evidence.max())
-        best = int(odds.argmax())
-        return self.model.languages[best], float(odds[best] / odds.sum())
+        return words if self.model.languages and any(c.isalpha() for w in words for c in w) else []
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        words = self.words(text)
+        return _verdict(self.model.languages, self.sums(words) if words else None, len(words))
+
+    def held(self, words: list[str]) -> tuple[np.ndarray, list[tuple[str, int]]]:
+        """The sums over the words that the model holds, and how often each other word occurs."""
+        total, others = np.zeros(len(self.model.languages)), Counter()
+        for at in range(0, len(words), self.room):
+            some = words[at : at + self.room]
+            rows = np.fromiter(map(self.get, some, repeat(-1)), np.int64, len(some))
+            total += self.table[rows[rows >= 0]].sum(axis=0, dtype=np.float64)
+            others.update(some[i] for i in np.flatnonzero(rows < 0).tolist())
+        return total, list(others.items())
+
+
+def _verdict(languages: list[str], total: np.ndarray | None, n_words: int) -> tuple[str, float]:
+    if not n_words:
+        return UNKNOWN, 0.0
+    # long texts would make every score 1: at most 25 words' worth of evidence counts
+    evidence = total / n_words * min(n_words, 25)
+    odds = np.exp(evidence - evidence.max())
+    best = int(odds.argmax())
+    return languages[best], float(odds[best] / odds.sum())
+
+
+def _looked_up(asked: DataFrame, model: LanguageModel, discount: float = 0.4) -> DataFrame:
+    """(word, logs) of the distinct words of ``asked``; a word without any known n-gram has no row."""
+    known = model.words.select(F.col("entry").alias("word"), "logs")
+    found = stored(asked.select("word").distinct().join(known, "word", "left"))
+    spread = _spread(found.where(F.col("logs").isNull()).select("word", F.substring("word", 1, 200).alias("start")), "start", model.longest, "word")
+    met = spread.join(model.grams.select(F.col("entry").alias("gram"), "logs"), "gram")
+    each = range(len(model.languages))
+    sums = [F.sum(F.col("logs")[i].cast("double")) for i in each]
+    by_size = met.groupBy("word", _size("gram").alias("size")).agg(F.count("*").alias("n"), F.array(*sums).alias("sums"))
+    longest = by_size.groupBy("word").agg(F.max(F.struct("size", "n", "sums")).alias("m"))
+    weights = F.array(*[F.lit(discount ** (model.longest - k)) for k in range(1, model.longest + 1)])
+    weight = F.element_at(weights, F.col("m.size"))
+    backed = F.array(*[F.rint(weight * (F.col("m.sums")[i] / F.col("m.n")) * STEP) / STEP for i in each])
+    return found.where(F.col("logs").isNotNull()).select("word", F.col("logs").cast("array<double>").alias("logs")).unionByName(
+        longest.select("word", backed.alias("logs"))
+    )
 
 
 def identify(
@@ -163,7 +225,7 @@ def identify(
     judged each for itself; further columns are left out.
     """
     code_on_workers(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, words=None, grams=None))
     schema = ", ".join(
         [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry] + ["lang_pred string", "score double"]
     )
@@ -177,4 +239,40 @@ def identify(
             columns += [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*carry, "lang_pred", "score"])
 
-    return docs.select(*carry, F.col(text).alias("__text")).mapInArrow(judge, schema)
+    texts = docs.select(*carry, F.col(text).alias("__text"))
+    if model.words is None:
+        return texts.mapInArrow(judge, schema)
+
+    def sum_held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = None
+        for batch in pieces(batches, "__text"):
+            scorer = scorer or _Scorer(shared.value)
+            words = [scorer.words(x) for x in batch.column(len(carry)).to_pylist()]
+            held = [scorer.held(w) for w in words]
+            columns = [batch.column(i) for i in range(len(carry))]
+            columns += [
+                pa.array([len(w) for w in words], pa.int64()),
+                pa.array([x[0] for x in held], pa.list_(pa.float64())),
+                pa.array([x[1] for x in held], pa.map_(pa.string(), pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, [*carry, "__words", "__sums", "__others"])
+
+    def conclude(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        languages = shared.value.languages
+        for batch in batches:
+            sums, counts = (batch.column(len(carry) + i).to_pylist() for i in (1, 0))
+            found = [_verdict(languages, np.array(s), n) for s, n in zip(sums, counts, strict=True)]
+            columns = [batch.column(i) for i in range(len(carry))]
+            columns += [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, [*carry, "lang_pred", "score"])
+
+    fields = schema.removesuffix("lang_pred string, score double") + "__words bigint, __sums array<double>, __others map<string,bigint>"
+    parts = stored(texts.mapInArrow(sum_held, fields).withColumn("__row", F.monotonically_increasing_id()))
+    others = parts.select("__row", F.explode("__others").alias("word", "n"))
+    each = range(len(model.languages))
+    added = others.join(_looked_up(others, model), "word").groupBy("__row").agg(
+        F.array(*[F.sum(F.col("n") * F.col("logs")[i]) for i in each]).alias("__added")
+    )
+    sums = F.array(*[F.col("__sums")[i] + F.coalesce(F.col("__added")[i], F.lit(0.0)) for i in each])
+    summed = parts.drop("__others").join(added, "__row", "left").select(*carry, "__words", sums.alias("__sums"))
+    return summed.mapInArrow(conclude, schema)
