@@ -45,6 +45,25 @@ def test_what_workers_hold_changes_no_score(spark, edges):
     assert got == want
 
 
+def test_long_words_count_whole(spark):
+    """Judged behind the 200th letter, learnt beyond 60 letters, and cut into blocks without loss."""
+    endless = [(i, "żółw" * (20 + i), "pl") for i in range(3)]
+    learnt = corpus(spark).unionByName(spark.createDataFrame(endless, "doc_id long, text string, lang string"))
+    late = "the" * 70 + "wasser" * 600
+    asked = spark.createDataFrame([(late, "de"), ("ółwżół", "pl")], "text string, lang string")
+    answers = []
+    for held in (150_000, 5):
+        rows = language.identify(asked, language.learn(learnt, most_words=held), carry=("text", "lang")).collect()
+        assert all(r.lang_pred == r.lang for r in rows), rows
+        answers.append(sorted(map(str, rows)))
+    assert answers[0] == answers[1]
+    grams = language._spread(spark.createDataFrame([(late[:2501],), (late[:998],), (late[:999],)], "w string"), "w", 4, "w").collect()
+    for word in (late[:2501], late[:998], late[:999]):
+        marked = f"^{word}$"
+        want = [f"{k}:{marked[i:i + k]}" for k in range(1, 5) for i in range(len(marked) - k + 1)]
+        assert sorted(r.gram for r in grams if r.w == word) == sorted(want)
+
+
 def test_edges(spark, edges, none):
     model = language.learn(edges)
     rows = language.identify(edges, model).collect()

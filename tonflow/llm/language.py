@@ -27,6 +27,8 @@ from tonflow.llm.common import code_on_workers, pieces, stored
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 STEP = float(1 << 19)
+#: Places of a word whose n-grams are made at once.
+BLOCK = 1000
 
 
 @dataclass(frozen=True)
@@ -60,7 +62,7 @@ def learn(
         F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"\p{L}+"), F.lit(0))).alias("entry"),
     )
     counted = stored(words.groupBy("language", "entry").agg(F.count("*").alias("n")))
-    spread = _spread(counted.where(F.length("entry") <= 60), "entry", longest, "language", "n")
+    spread = _spread(counted, "entry", longest, "language", "n")
     gram_counts = spread.groupBy("language", "gram").agg(F.sum("n").alias("n")).withColumnRenamed("gram", "entry")
     languages = sorted(r[0] for r in counted.select("language").distinct().collect())
     all_words = _with_logs(counted, languages, F.lit(0))
@@ -77,15 +79,21 @@ def _size(entry: str) -> Column:
 
 
 def _spread(rows: DataFrame, word: str, longest: int, *carry: str) -> DataFrame:
-    """A row ``gram`` for each n-gram at each place of a word; the columns of ``carry`` go along."""
-    marked = F.concat(F.lit("^"), F.col(word), F.lit("$"))
+    """A row ``gram`` for each n-gram at each place of a word; the columns of ``carry`` go along.
+
+    Long words are cut into blocks of places, each with the letters that its last n-grams need.
+    """
+    whole = F.concat(F.lit("^"), F.col(word), F.lit("$"))
+    cut = F.regexp_extract_all(whole, F.lit(f"(?s)(?=(.{{1,{BLOCK + longest - 1}}})).{{1,{BLOCK}}}"), F.lit(1))
+    blocks = rows.select(*carry, F.explode(F.when(F.length(whole) <= BLOCK, F.array(whole)).otherwise(cut)).alias("__block"))
+    marked = F.col("__block")
 
     def grams(size: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(marked) - size + 1)
+        starts = F.sequence(F.lit(1), F.least(F.lit(BLOCK), F.length(marked) - size + 1))
         cut = F.transform(starts, lambda i: F.concat(F.lit(f"{size}:"), F.substring(marked, i, F.lit(size))))
         return F.when(F.length(marked) >= size, cut).otherwise(F.array().cast("array<string>"))
 
-    return rows.select(*carry, F.explode(F.flatten(F.array(*[grams(k) for k in range(1, longest + 1)]))).alias("gram"))
+    return blocks.select(*carry, F.explode(F.flatten(F.array(*[grams(k) for k in range(1, longest + 1)]))).alias("gram"))
 
 
 def _with_logs(counts: DataFrame, languages: list[str], kind: Column) -> DataFrame:
@@ -143,16 +151,17 @@ class _Scorer(dict):
         return row
 
     def _unseen(self, word: str) -> np.ndarray:
-        marked, entries = f"^{word[:200]}$", self.model.entries
+        marked, entries = f"^{word}$", self.model.entries
         for size in range(min(self.model.longest, len(marked)), 0, -1):
-            found = [
-                row for i in range(len(marked) - size + 1)
-                if (row := entries.get(f"{size}:{marked[i:i + size]}")) is not None
-            ]
-            if found:
+            total, n = np.zeros(len(self.model.languages)), 0
+            for at in range(0, len(marked) - size + 1, BLOCK):
+                places = range(at, min(at + BLOCK, len(marked) - size + 1))
+                found = [row for i in places if (row := entries.get(f"{size}:{marked[i:i + size]}")) is not None]
+                total += self.model.logs[found].sum(axis=0, dtype=np.float64)
+                n += len(found)
+            if n:
                 weight = self.discount ** (self.model.longest - size)
-                mean = self.model.logs[found].sum(axis=0, dtype=np.float64) / len(found)
-                return np.rint(weight * mean * STEP) / STEP
+                return np.rint(weight * (total / n) * STEP) / STEP
         return np.zeros(len(self.model.languages), np.float32)
 
     def sums(self, words: list[str]) -> np.ndarray:
@@ -201,7 +210,7 @@ def _looked_up(asked: DataFrame, model: LanguageModel, discount: float = 0.4) ->
     """(word, logs) of the distinct words of ``asked``; a word without any known n-gram has no row."""
     known = model.words.select(F.col("entry").alias("word"), "logs")
     found = stored(asked.select("word").distinct().join(known, "word", "left"))
-    spread = _spread(found.where(F.col("logs").isNull()).select("word", F.substring("word", 1, 200).alias("start")), "start", model.longest, "word")
+    spread = _spread(found.where(F.col("logs").isNull()).select("word"), "word", model.longest, "word")
     met = spread.join(model.grams.select(F.col("entry").alias("gram"), "logs"), "gram")
     each = range(len(model.languages))
     sums = [F.sum(F.col("logs")[i].cast("double")) for i in each]
