@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonflow.llm import byte_pairs, chat, curriculum, language, minmax, neighbours, quality_rules, rule_classifier, suffix_dedup, token_trie
+from tonflow.llm import (
+    byte_pairs, chat, conversation_repair, curriculum, exact_dedup, language, minmax, neighbours, quality_rules, rule_classifier,
+    suffix_dedup, token_trie, whitening,
+)
 from tonflow.llm.common import held_out, table
 
 SQL_WORD = r"'[^\x20\x09-\x0D]+'"
@@ -222,6 +225,116 @@ def op10_minmax(spark: SparkSession, folder: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, folder, "documents"))
 
 
+# ----------------------------------------------------------------- op11: exact dedup
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, arriving in two batches by the parity of the id's crc32."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    later = held_out(F.col("doc_id"), 2, 1)
+    found = exact_dedup.deduplicate([docs.where(~later), docs.where(later)])
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS longest,
+  regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS plain FROM documents),
+g AS (SELECT *, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY plain) AS group_size, row_number() OVER w AS k
+  FROM d WINDOW w AS (PARTITION BY plain ORDER BY longest DESC, doc_id NULLS LAST))
+SELECT doc_id, keep_id, group_size::BIGINT AS group_size, k = 1 AS kept, sha256(plain) AS text_sha256 FROM g"""
+
+
+# --------------------------------------------------- op12: conversation structure repair
+def damaged(turns: DataFrame) -> DataFrame:
+    """The given conversations with faults in rows picked by crc32; dropped rows are marked absent."""
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    fault = F.crc32(F.concat(text["conv_id"], F.lit(":"), text["turn"]).cast("binary")) % 20
+    said = (
+        F.when(F.col("fault") == 1, F.lit("")).when(F.col("fault") == 2, F.regexp_replace("said", "[.!?]", "")).otherwise(F.col("said"))
+    )
+    times = F.explode(F.when(F.col("fault") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    rows = turns.select("conv_id", "turn", text["role"].alias("role"), text["text"].alias("said"), fault.alias("fault"))
+    return rows.select(
+        "conv_id", "turn", F.when(F.col("fault") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"), said.alias("text"),
+        (F.col("fault") != 0).alias("present"), times.alias("time"),
+    ).drop("time")
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = damaged(table(spark, folder, "conversations"))
+    repaired = conversation_repair.digests(conversation_repair.repair(turns, present=F.col("present")))
+    return repaired.select("conv_id", "summary.*", "repaired_sha256")
+
+
+def _op12_sql() -> str:
+    """One step of the recursion takes the next turn of every conversation; struct order breaks ties."""
+
+    def best(*offers: str) -> str:
+        return f"list_min(list_filter([{', '.join(offers)}], lambda x: x IS NOT NULL))"
+
+    def edit(cell: str, cost: str, letter: str, made: str, when: str = "true") -> str:
+        said = f"list_append({cell}.r, {made})" if made else f"{cell}.r"
+        return f"CASE WHEN {cell} IS NOT NULL AND {when} THEN {{'c': {cell}.c + {cost}, 'a': {cell}.a || '{letter}', 'r': {said}}} END"
+
+    def inserted(source: str) -> str:
+        """States 2 and 3 may come from an inserted turn."""
+        two = best("c2", *[edit(f"c{s}", "2", "I", "'user:'") for s in (0, 1, 3)])
+        return (
+            f"SELECT conv_id, i, n, c0, c1, d2 AS c2, {best('c3', edit('d2', '2', 'I', chr(39) + 'assistant:' + chr(39)))} AS c3 "
+            f"FROM (SELECT *, {two} AS d2 FROM ({source}))"
+        )
+
+    stay, more = "NOT t.gone", "t.trunc"
+    drop = [edit(f"s.c{k}", "3", "D", "") for k in range(4)]
+    user = [x for k in (0, 1, 3) for x in (edit(f"s.c{k}", more, "K", "t.line", f"{stay} AND t.ini = 'u'"), edit(f"s.c{k}", f"2 + {more}", "R", "'user:' || t.x", stay))]
+    answer = [edit("s.c2", more, "K", "t.line", f"{stay} AND t.ini = 'a'"), edit("s.c2", f"2 + {more}", "R", "'assistant:' || t.x", stay)]
+    system = edit("s.c0", more, "K", "t.line", f"{stay} AND t.ini = 's'")
+    cell = "STRUCT(c BIGINT, a VARCHAR, r VARCHAR[])"
+    start = inserted(
+        f"SELECT conv_id, 0::BIGINT AS i, n, {{'c': 0, 'a': '', 'r': []}}::{cell} AS c0, NULL::{cell} AS c1, NULL::{cell} AS c2, NULL::{cell} AS c3 FROM every"
+    )
+    step = inserted(
+        f"SELECT s.conv_id, s.i + 1 AS i, s.n, {best(drop[0])} AS c0, {best(drop[1], system)} AS c1, {best(drop[2], *user)} AS c2, "
+        f"{best(drop[3], *answer)} AS c3 FROM s JOIN t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.i = s.i + 1"
+    )
+    return rf"""
+WITH RECURSIVE g AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+    lambda ch: list_transform(range(8), lambda b: ((ascii(ch) >> b::INTEGER) & 1)::BIGINT))),
+    lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) % 20 AS fault FROM conversations),
+f AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+  CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS x,
+  unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS time FROM g WHERE fault <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, x) AS i, regexp_replace(x, '[ 	-]', '', 'g') AS core FROM f),
+p AS (SELECT *, core = '' AS blank, core <> '' AND row_number() OVER (PARTITION BY conv_id, role, x ORDER BY i) > 1 AS dup, left(role, 1) AS ini,
+  lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+t AS MATERIALIZED (SELECT conv_id, turn, i, x, ini, before, blank, dup, blank OR dup AS gone, role || ':' || x AS line,
+  (NOT blank AND NOT dup AND right(core, 1) NOT IN ('.', '!', '?'))::BIGINT AS trunc FROM p),
+every AS (SELECT v.conv_id, count(t.i) AS n, coalesce(max(t.turn) - min(t.turn) + 1 - count(DISTINCT t.turn), 0)::BIGINT AS gaps,
+  count(*) FILTER (t.blank)::BIGINT AS blank, count(*) FILTER (t.dup)::BIGINT AS duplicate, coalesce(sum(t.trunc), 0)::BIGINT AS truncated,
+  count(*) FILTER (t.before IS NOT NULL AND t.before || t.ini NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal
+  FROM (SELECT DISTINCT conv_id FROM conversations) AS v LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM v.conv_id GROUP BY v.conv_id),
+s AS ({start} UNION ALL {step}),
+e AS (SELECT conv_id, {best("c0", "c3")} AS b FROM s WHERE i = n)
+SELECT every.conv_id, gaps, blank, duplicate, truncated, illegal, b.c::BIGINT AS cost, b.a AS audit,
+  sha256(array_to_string(b.r, chr(10))) AS repaired_sha256
+FROM every JOIN e ON e.conv_id IS NOT DISTINCT FROM every.conv_id"""
+
+
+# ------------------------------------------------------------- op13: embedding whitening
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = whitening.whole_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding", scale=64.0, shift=1_000_000)
+    distinct = whitening.fit_list(vectors)
+    model = whitening.fit(distinct, scale=64.0, shift=1_000_000)
+    if model is None:
+        nothing = vectors.select(F.col("id").alias("vec_id"), F.lit(0).alias("component"), F.lit(0).cast("long").alias("n")).limit(0)
+        return nothing.selectExpr("*", "0L AS deviation", "0D AS whitened", "0D AS explained", "0D AS identity_error")
+    explained = F.array(*[F.lit(e).cast("double") for e in model.explained])
+    return whitening.whiten(vectors, model).select(
+        F.col("id").alias("vec_id"), "component", F.lit(model.n).cast("long").alias("n"), F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened", F.element_at(explained, F.col("component")).alias("explained"),
+        F.lit(whitening.identity_error(distinct, model)).cast("double").alias("identity_error"),
+    )
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_one_bit_codes": op2_one_bit_codes,
@@ -233,5 +346,15 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_language": op9_language,
     "op10_minmax": op10_minmax,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_whitening": op13_whitening,
+}
+ORACLES = {
+    "op1_quality_rules": _op1_sql(),
+    "op2_one_bit_codes": OP2_SQL,
+    "op4_curriculum": OP4_SQL,
+    "op8_chat_format": OP8_SQL,
+    "op11_exact_dedup": OP11_SQL,
+    "op12_conversation_repair": _op12_sql(),
 }
-ORACLES = {"op1_quality_rules": _op1_sql(), "op2_one_bit_codes": OP2_SQL, "op4_curriculum": OP4_SQL, "op8_chat_format": OP8_SQL}
