@@ -132,10 +132,13 @@ def _found(groups: DataFrame, docs: DataFrame, snapshot: Snapshot) -> DataFrame:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, side: int) -> DataFrame:
-    """Texts, blanks deleted, of one row for each wanted digest."""
+    """Texts, blanks deleted, of one row for each wanted digest.
+
+    Texts meet their digests in a shuffle at every size: the number wanted grows with the batch.
+    """
     plain = docs.select("id", normalised(F.col("text")).alias("plain")).withColumn("digest", F.sha2("plain", 256))
     wanted = wanted.select("digest", F.col("id").alias("wanted_id"))
-    met = plain.join(wanted, "digest").where(F.col("id").eqNullSafe(F.col("wanted_id")))
+    met = plain.join(wanted.hint("merge"), "digest").where(F.col("id").eqNullSafe(F.col("wanted_id")))
     return met.select("digest", "plain", F.lit(side).alias("side"))
 
 
