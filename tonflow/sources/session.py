@@ -64,3 +64,37 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     df.write.mode("errorifexists").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+class Scratch:
+    """Written copies that belong to one piece of work; each goes as soon as nothing needs it.
+
+    A copy may be dropped once all that was built from it has been written itself.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self._folders: dict[int, tuple[DataFrame, str]] = {}
+
+    def keep(self, df: DataFrame, *replaced: DataFrame) -> DataFrame:
+        """A written copy of ``df``; the copies it ``replaced`` are deleted."""
+        folder = shared_folder(self.spark)
+        if folder is None:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        df.write.mode("errorifexists").parquet(folder)
+        copy = self.spark.read.schema(df.schema).parquet(folder)
+        self._folders[id(copy)] = (copy, folder)
+        self.drop(*replaced)
+        return copy
+
+    def drop(self, *copies: DataFrame) -> None:
+        for copy in copies:
+            _, folder = self._folders.pop(id(copy), (None, None))
+            if folder is not None:
+                delete_path(self.spark, folder)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever store Spark can reach."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
