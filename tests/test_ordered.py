@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,15 +98,27 @@ def test_several_legs_and_condition_keep_every_left_row(spark):
     assert {r["id"]: r["before"]["rid"] if r["before"] else None for r in rows} == {r["id"]: r["rid"] for r in alone.collect()}
 
 
-def test_running_total_is_sum_so_far(spark):
+@pytest.fixture
+def many_slots(spark):
+    """Every shuffle partition is a slot."""
+    names = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "13"}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, value in names.items():
+        spark.conf.set(n, value)
+    yield
+    for n, value in before.items():
+        spark.conf.set(n, value)
+
+
+def test_running_total_is_sum_so_far(spark, many_slots):
     rows = [(i, i % 3, float(i)) for i in range(60)]
     df = spark.createDataFrame(rows, "t long, k long, v double")
-    got = ordered.running_total(df, ["t"], "v", ordered.number_slot("t", 7), opening=100.0).orderBy("t").collect()
+    got = ordered.running_total(df, ["t"], "v", opening=100.0).orderBy("t").collect()
     so_far = 100.0
     for r in got:
         so_far += r["v"]
         assert abs(r["running_total"] - so_far) < 1e-9
-    keyed = ordered.running_total(df, ["t"], "v", ordered.number_slot("t", 7), ["k"]).where("t = 59").first()
+    keyed = ordered.running_total(df, ["t"], "v", ["k"]).where("t = 59").first()
     assert keyed["running_total"] == sum(v for t, k, v in rows if k == 2)
 
 
@@ -115,8 +128,38 @@ def test_row_numbers_are_a_permutation(spark):
     assert all(r["n"] == r["x"] + 1 for r in got)
 
 
-def test_row_numbers_over_slots_of_text_and_nulls(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "ROWS_PER_SLOT", 10)
+def test_slots_are_even_where_rows_crowd(spark, many_slots):
+    """Most rows lie within one second of one key; slots follow the rows, not the clock."""
+    df = spark.range(20_000).selectExpr("CASE WHEN id % 50 = 0 THEN id ELSE 7 END AS k", "id % 997 AS t", "id")
+    sizes = sorted(r["count"] for r in ordered.dealt(df, ["k", "t", "id"]).groupBy("_slot").count().collect())
+    assert len(sizes) == 13 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+@pytest.mark.parametrize("between", [False, True])
+def test_quantiles_are_exact(spark, many_slots, between):
+    rng = random.Random(between)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, *range(40)])) for _ in range(3000)] + [("c", 5)] * 2 + [("d", None)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    fractions, names = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0], [f"q{i}" for i in range(6)]
+    got = {r["k"]: [float(r[n]) for n in names] for r in ordered.quantiles(df, ["k"], "v", fractions, names, between).collect()}
+    assert set(got) == {"a", "b", "c", None}
+    for key, found in got.items():
+        values = sorted(v for k, v in rows if k == key and v is not None)
+        want = np.quantile(values, fractions, method="linear" if between else "inverted_cdf")
+        assert found == pytest.approx(list(want))
+    alone = ordered.quantiles(df, [], "v", [0.5], ["m"], between).first()["m"]
+    assert alone == np.quantile([v for _, v in rows if v is not None], 0.5, method="linear" if between else "inverted_cdf")
+    assert ordered.quantiles(df.limit(0), ["k"], "v", [0.5], ["m"], between).count() == 0
+
+
+def test_maps_may_come_along(spark):
+    df = spark.createDataFrame([("a", 1, None, {"x": 1}), ("a", 2, None, {"y": 2})], "k string, t long, ts timestamp, m map<string,int>")
+    assert ordered.previous_row(df, ["k"], ["t"], ["t"], F.col("t")).where("previous.t = 1").first()["m"] == {"y": 2}
+    right = df.select("k", F.col("ts").alias("rts"), F.col("t").alias("rid"))
+    assert ordered.asof_join(df, right, ["k"], "ts", "rts", "rid", "backward", 8.0, ["rid"]).count() == 2
+
+
+def test_row_numbers_over_slots_of_text_and_nulls(spark, many_slots):
     rows = [(f"{i % 5}" if i % 7 else None, i) for i in range(200)]
     got = ordered.row_numbers(spark.createDataFrame(rows, "a string, b long"), ["a", "b"], "n").collect()
     want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))

@@ -55,7 +55,7 @@ def previous_row(
     rows = df.withColumns(
         {
             "_placed": slot.isNotNull(),
-            "_slot": _spread_nulls(slot, *df.columns),
+            "_slot": _spread_nulls(slot, *keys, *order),
             "_own": F.struct(*fields),
             "_real": F.lit(1),
         }
@@ -171,7 +171,9 @@ def match_nearest(
     for k in by:
         keyed = keyed & F.col(k).isNotNull()
 
-    place = _spread_nulls(time_slot(ts, slot_minutes), *left_columns)
+    # Columns of map type can't be hashed.
+    spread_by = [f.name for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
+    place = _spread_nulls(time_slot(ts, slot_minutes), *spread_by)
     stream = left.select(
         *by,
         place.alias("_slot"),
@@ -282,20 +284,33 @@ def asof_join(
     return matched.select(*left.columns, *[F.col(f"_match.{f}").alias(f) for f in fields])
 
 
+def dealt(df: DataFrame, order: Sequence[str | Column], slot: str = "_slot") -> DataFrame:
+    """Rows dealt to numbered slots by ranges of a whole order key, written once.
+
+    Spark samples the key for ranges of even size and merges small ones, so slots follow the
+    data.  Rows that tie on the whole key share a slot, and slot numbers grow along the order.
+    """
+    return cut_lineage(df.repartitionByRange(*order).withColumn(slot, F.spark_partition_id()))
+
+
 def running_total(
     df: DataFrame,
     order: Sequence[str],
     value: str,
-    slot: Column,
     keys: Sequence[str] = (),
     name: str = "running_total",
     opening: float = 0.0,
 ) -> DataFrame:
-    """Cumulative sum in order.  Without keys it still runs slot by slot, not in one task."""
+    """Cumulative sum in order, within each key or over all rows, in two passes.
+
+    Rows are dealt to slots by ranges of (keys, order).  Every slot is summed, the sums (one row
+    per slot and key) are added up, and every slot then runs on from the total before it: no
+    task holds more than a slot, however the rows are spread over keys and time.
+    """
     keys, order = list(keys), list(order)
-    rows = df.withColumns({"_slot": slot, "_add": F.col(value).cast("double"), "_real": F.lit(1)})
+    rows = dealt(df.withColumns({"_add": F.col(value).cast("double"), "_real": F.lit(1)}), [*keys, *order])
     totals = rows.groupBy(*keys, "_slot").agg(F.sum("_add").alias("_sum"))
-    # The slots themselves are few; without keys they are ordered under one constant.
+    # One row per slot: without keys they are ordered under one constant.
     across = W.partitionBy(*(keys or [F.lit(0)])).orderBy("_slot")
     earlier = F.sum("_sum").over(across.rowsBetween(W.unboundedPreceding, -1))
     heads = totals.select(
@@ -311,24 +326,67 @@ def running_total(
     )
 
 
-ROWS_PER_SLOT = 200_000
+def quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, fractions: Sequence[float], names: Sequence[str], between: bool = False
+) -> DataFrame:
+    """Exact quantiles of a value within each key, NULL values left out.
+
+    Without ``between`` a quantile is the smallest value that the fraction of rows does not
+    exceed (as ``percentile_disc``), with it neighbours are interpolated (``percentile``).
+
+    Equal values are counted first, so only (key, value, count) is shuffled; these are dealt to
+    slots by ranges of (key, value), and counts run on from slot to slot.  No task holds a
+    key's values, and nothing is approximate at any size.
+    """
+    keys = list(keys)
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = dealt(counts, [*keys, "_v"])
+    per_slot = rows.groupBy(*keys, "_slot").agg(F.sum("_n").alias("_in_slot"))
+    # One row per key and slot.
+    of_key = W.partitionBy(*(keys or [F.lit(0)]))
+    before = F.sum("_in_slot").over(of_key.orderBy("_slot").rowsBetween(W.unboundedPreceding, -1))
+    starts = per_slot.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slot").alias("_k_slot"), F.coalesce(before, F.lit(0)).alias("_start"),
+        F.sum("_in_slot").over(of_key).alias("_all"),
+    )
+    on = F.col("_slot") == F.col("_k_slot")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    own = F.sum("_n").over(W.partitionBy(*keys, "_slot").orderBy("_v").rowsBetween(W.unboundedPreceding, 0))
+    ranked = rows.withColumn("_own", own).join(starts, on).withColumn("_last", F.col("_start") + F.col("_own"))
+    first = F.col("_last") - F.col("_n")  # this value stands at the places from here, from 0, up to before _last
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((first <= place) & (place < F.col("_last")), F.col("_v")))
+
+    found = []
+    for i, f in enumerate(fractions):
+        if between:
+            place = (F.col("_all") - 1) * F.lit(float(f))
+            found += [at(F.floor(place)).alias(f"_low{i}"), at(F.ceil(place)).alias(f"_high{i}"), F.max(place - F.floor(place)).alias(f"_part{i}")]
+        else:
+            found.append(at(F.greatest(F.ceil(F.col("_all") * F.lit(float(f))) - 1, F.lit(0))).alias(f"_low{i}"))
+    picked = ranked.groupBy(*keys).agg(*found)
+    out = []
+    for i, n in enumerate(names):
+        low = F.col(f"_low{i}")
+        mixed = low + (F.col(f"_high{i}") - low) * F.col(f"_part{i}") if between else low
+        out.append(mixed.alias(n))
+    return picked.select(*keys, *out)
 
 
 def row_numbers(df: DataFrame, order: Sequence[str], name: str = "row_number") -> DataFrame:
     """Position of every row under a total order, from 1, without one global sort task.
 
-    Rows are dealt to slots by ranges of the whole order key, of whatever orderable types, NULLs
-    first; the number of slots follows the number of rows.  The dealt rows are written
-    once, so that all steps see the same slots.  Each slot is numbered on its own and starts
-    after the rows of the slots before it.  Rows that tie on the whole key share a slot.
+    Each slot of :func:`dealt` rows is numbered on its own and starts after the rows of the slots
+    before it.  Keys may be of any orderable types, NULLs first.
     """
     order = list(order)
-    slots = max(1, -(-df.count() // ROWS_PER_SLOT))
-    dealt = cut_lineage(df.repartitionByRange(slots, *order).withColumn("_slot", F.spark_partition_id()))
-    sizes = dealt.groupBy("_slot").agg(F.count(F.lit(1)).alias("_rows"))
+    rows = dealt(df, order)
+    sizes = rows.groupBy("_slot").agg(F.count(F.lit(1)).alias("_rows"))
     # one row per slot
     earlier = W.partitionBy(F.lit(0)).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("_slot", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
     own = F.row_number().over(W.partitionBy("_slot").orderBy(*order))
-    numbered = dealt.withColumn("_own", own).join(starts, "_slot")
+    numbered = rows.withColumn("_own", own).join(starts, "_slot")
     return numbered.select(*df.columns, (F.col("_start") + F.col("_own")).cast("long").alias(name))

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tonflow.functions.numbers import col, percent, steady
+from tonflow.operators.ordered import quantiles
 from tonflow.settings import DEFAULTS
 
 
@@ -80,23 +81,17 @@ def to_date_sum(
 
 
 def robust_z(
-    df: DataFrame,
-    value: str,
-    keys: Sequence[str],
-    constant: float = DEFAULTS.mad_constant,
-    accuracy: int = 10_000,
+    df: DataFrame, value: str, keys: Sequence[str], constant: float = DEFAULTS.mad_constant
 ) -> DataFrame:
     """Median, median absolute deviation and robust z-score of a value within its group.
 
-    Two small aggregates joined back by key, so a long series is never held in one task.
-    A group without spread scores 0.
+    Medians are exact at every size (the lower one of two in the middle) and joined back by key, so
+    a long series is never held in one task.  A group without spread scores 0.
     """
     keys = list(keys)
-    half = lambda c: F.percentile_approx(c, 0.5, accuracy)
-    medians = df.groupBy(*keys).agg(half(value).alias("median"))
-    centred = beside(df, medians, keys)
-    spread = centred.groupBy(*keys).agg(half(F.abs(F.col(value) - F.col("median"))).alias("mad"))
-    scored = beside(centred, spread, keys)
+    centred = beside(df, quantiles(df, keys, value, [0.5], ["median"]), keys)
+    away = centred.withColumn("_away", F.abs(F.col(value) - F.col("median")))
+    scored = beside(centred, quantiles(away, keys, "_away", [0.5], ["mad"]), keys)
     z = constant * (F.col(value) - F.col("median")) / F.col("mad")
     return scored.withColumn(
         "robust_z", steady(F.when(F.col("mad") > 0, z).otherwise(F.lit(0.0)), 2)
@@ -115,15 +110,6 @@ def beside(df: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(right, on, "left").drop(*[f"_r_{k}" for k in keys])
 
 
-def adjacent_pairs(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], fields: Sequence[str]
-) -> DataFrame:
-    """Each row with the next one of its group, as structs ``behind`` and ``ahead``."""
-    me = F.struct(*fields)
-    after = F.lead(me).over(W.partitionBy(*keys).orderBy(*order))
-    return df.select(*keys, me.alias("behind"), after.alias("ahead")).where("ahead IS NOT NULL")
-
-
 def deviation_from_mean(
     df: DataFrame, value: str, keys: Sequence[str], mean: str, deviation: str, digits: int = 3
 ) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonflow.functions import codes, numbers, times
-from tonflow.operators.ordered import counter_delta
-from tonflow.operators.windows import first_per_key, share_of_total
+from tonflow.operators.ordered import counter_delta, quantiles
+from tonflow.operators.windows import beside, first_per_key, share_of_total
 from tonflow.settings import DEFAULTS, Settings
 
 # --- Fixed values -----------------------------------------------------------------
@@ -293,21 +293,13 @@ def ratio_summary(ratios: DataFrame) -> DataFrame:
 
 
 def box_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Minimum, quartiles and maximum of groups with more than one value."""
-    quarters = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("low"), quarters.alias("_q"), F.max(value).alias("high"))
-        .where("n > 1")
-        .select(
-            *keys, "n", "low",
-            numbers.steady(F.get("_q", F.lit(0)), 6).alias("q1"),
-            numbers.steady(F.get("_q", F.lit(1)), 6).alias("median"),
-            numbers.steady(F.get("_q", F.lit(2)), 6).alias("q3"),
-            "high",
-        )
-    )
+    """Minimum, exact quartiles and maximum of groups with more than one value."""
+    keys = list(keys)
+    quarters = quantiles(df, keys, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"], between=True)
+    known = df.where(F.col(value).isNotNull()).groupBy(*keys)
+    ends = known.agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
+    rows = beside(ends.where("n > 1"), quarters, keys)
+    return rows.select(*keys, "n", "low", *[numbers.steady(q, 6).alias(q) for q in ("q1", "median", "q3")], "high")
 
 
 def tonnage_pivot(

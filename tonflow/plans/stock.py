@@ -100,8 +100,6 @@ def stock_balance(ledger: DataFrame, intake: DataFrame, settings: Settings = DEF
         hourly,
         ["hour_start_utc"],
         "net_ton",
-        # Hours before the first real one: mutations whose time is missing.
-        F.coalesce(F.unix_date(F.to_date("hour_start_utc")), F.lit(-1_000_000)),
         name="balance_ton",
         opening=settings.opening_stock_ton,
     )

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tonflow.functions import codes, geo, numbers, text, times
 from tonflow.operators import spatial
+from tonflow.operators.ordered import previous_row
 from tonflow.operators.windows import first_per_key, top_per_key
 
 # --- Fixed values -----------------------------------------------------------------
@@ -23,6 +23,9 @@ EXPECTATIONS = {
 }
 # --- end of fixed values ------------------------------------------------------------
 
+#: Stretch of road within which trucks are put in order at once: about 110 m.
+CELL_DEGREES = 0.001
+
 POSITION_COLUMNS = (
     "id", "deviceid", "truk", "devicetime", "latitude", "longitude", "speed", "course",
     "grup_arah", "geofenceids",
@@ -93,6 +96,11 @@ def driving_order(positions: DataFrame) -> DataFrame:
     return positions.withColumns({"sort_key_1": first, "sort_key_2": second})
 
 
+def road_cell(degrees: float = CELL_DEGREES) -> Column:
+    """Number of a stretch of road; grows along the driving order (without a place: the first)."""
+    return F.coalesce(F.floor(F.col("sort_key_1") / F.lit(degrees)), F.lit(-(2**40)))
+
+
 TRUCK_FIELDS = (
     "sort_key_1", "sort_key_2", "truk", "id", "speed", "latitude", "longitude",
     "devicetime", "grup_arah", "geofenceids", "jalur",
@@ -156,10 +164,9 @@ def truck_pairs(located: DataFrame, one_per_truck: bool = False) -> DataFrame:
         rows = top_per_key(
             rows, ["_window", "jalur_arah", "truk"], [F.desc("devicetime"), F.desc("id")], 1
         )
-    me = F.struct(*TRUCK_FIELDS)
     order = ["sort_key_1", "sort_key_2", "truk", "id"]
-    follows = F.lead(me).over(W.partitionBy("_window", "jalur_arah").orderBy(*order))
-    pairs = rows.select(me.alias("behind"), follows.alias("ahead")).where("ahead IS NOT NULL")
+    followed = previous_row(rows, ["_window", "jalur_arah"], order, TRUCK_FIELDS, road_cell(), "behind")
+    pairs = followed.where("behind IS NOT NULL").select("behind", F.struct(*TRUCK_FIELDS).alias("ahead"))
     return measured_pairs(pairs)
 
 

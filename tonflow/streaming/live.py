@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -43,9 +43,10 @@ def spacing_stream(
     """Spacing of following trucks as windows of five seconds close (append output).
 
     Finding the lane is stateless: an equi-join with the static grid of lanes.  The positions
-    of a window and direction are then put in driving order.  With ``one_per_truck`` an
-    aggregation before that keeps a truck's last position only, so that the list is bounded
-    by the trucks driving one way within five seconds, however often they report.
+    of a window, direction and stretch of road are then put in driving order, and a second pass
+    joins each stretch to the next by the trucks at its ends: no state row holds more than the
+    positions of one stretch within five seconds, or two trucks of each stretch.  With
+    ``one_per_truck`` an aggregation before that keeps a truck's last position only.
     """
     typed = event_time(tracking.typed_positions(positions), "devicetime", lateness)
     located = tracking.located_positions(typed, devices, tracking.lane_lookup(lanes))
@@ -53,22 +54,41 @@ def spacing_stream(
     position, when = F.struct(*tracking.TRUCK_FIELDS), F.window("devicetime", tracking.PAIR_WINDOW)
     if one_per_truck:
         ordered = ordered.groupBy(when.alias("_w"), "jalur_arah", "truk").agg(
-            F.max_by(position, F.struct("devicetime", "id")).alias("_truck")
+            F.max_by(F.struct(position.alias("at"), tracking.road_cell().alias("cell")), F.struct("devicetime", "id")).alias("_last")
         )
+        ordered = ordered.select("_w", "jalur_arah", F.col("_last.at").alias("_truck"), F.col("_last.cell").alias("_cell"))
         position, when = F.col("_truck"), F.window(F.window_time("_w"), tracking.PAIR_WINDOW)
-    queues = ordered.groupBy(when.alias("_w2"), "jalur_arah").agg(
+    ordered = ordered.withColumn("_cell", F.col("_cell") if one_per_truck else tracking.road_cell())
+    queues = ordered.groupBy(when.alias("_w2"), "jalur_arah", "_cell").agg(
         F.sort_array(F.collect_list(position)).alias("_queue")
     )
-    following = F.arrays_zip(
-        F.slice("_queue", F.lit(1), F.size("_queue") - 1).alias("behind"),
-        F.slice("_queue", F.lit(2), F.size("_queue") - 1).alias("ahead"),
+    # Pairs within a stretch, and its first and last truck (part NULL).
+    inside = F.transform(
+        _neighbours("_queue"), lambda p: F.struct(F.col("_cell").alias("part"), p["one"].alias("behind"), p["two"].alias("ahead"))
     )
-    pairs = queues.where(F.size("_queue") > 1).select(F.inline(following))
+    ends = F.struct(
+        F.lit(None).cast("long").alias("part"), F.element_at("_queue", 1).alias("behind"), F.element_at("_queue", -1).alias("ahead")
+    )
+    parts = queues.select("_w2", "jalur_arah", F.inline(F.array_append(inside, ends)).alias("part", "behind", "ahead"))
+    # The second pass holds pairs by stretch, and of all stretches the two trucks at the ends.
+    met = parts.groupBy(F.window(F.window_time("_w2"), tracking.PAIR_WINDOW).alias("_w3"), "jalur_arah", "part").agg(
+        F.sort_array(F.collect_list(F.struct("behind", "ahead"))).alias("_pairs")
+    )
+    across = F.transform(
+        _neighbours("_pairs"), lambda p: F.struct(p["one"]["ahead"].alias("behind"), p["two"]["behind"].alias("ahead"))
+    )
+    pairs = met.select(F.inline(F.when(F.col("part").isNull(), across).otherwise(F.col("_pairs"))))
     pairs = pairs.toDF("behind", "ahead")
     spacing = tracking.measured_pairs(pairs)
     return spacing if geofences is None else tracking.with_geofences(spacing, geofences)
 
 
+def _neighbours(items: str) -> Column:
+    """Each element with the one after it, as an array of structs (one, two)."""
+    n = F.size(items) - 1
+    return F.arrays_zip(F.slice(items, F.lit(1), n).alias("one"), F.slice(items, F.lit(2), n).alias("two"))
+
+
 def rollup_stream(spacing: DataFrame, kind: str, lateness: str = LATENESS) -> DataFrame:
     """Five-minute averages over a stream of spacing rows."""
     return tracking.windowed_rollup(

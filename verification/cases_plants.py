@@ -122,6 +122,17 @@ def density_trend(spark, d):
     return crushing.density_trend(tonnage(spark, d))
 
 
+@case(
+    "density_box",
+    f"""SELECT location, count(*) AS n, min(density_realisasi) AS low, {rd("quantile_cont(density_realisasi, 0.25)", 6)} AS q1,
+               {rd("quantile_cont(density_realisasi, 0.5)", 6)} AS median, {rd("quantile_cont(density_realisasi, 0.75)", 6)} AS q3,
+               max(density_realisasi) AS high FROM ({DENSITY_SQL}) GROUP BY ALL HAVING count(*) > 1""",
+)
+def density_box(spark, d):
+    """Box statistics of the daily density of each belt."""
+    return crushing.box_stats(density_trend(spark, d), ["location"], "density_realisasi")
+
+
 @case("belt_ratio", "SELECT * FROM belt_days")
 def belt_ratio(spark, d):
     weighed = inputs.weighings(spark, d).withColumn("timestamp_gross_local", F.to_timestamp("timestamp_gross_local"))
