@@ -1,6 +1,8 @@
 """Table changes, loading and quality checks."""
 
+import os
 from datetime import date, datetime, timedelta
+from urllib.parse import unquote, urlparse
 
 import pytest
 from pyspark.errors import PySparkException
@@ -22,7 +24,7 @@ from tonflow.sources import (
     resolve,
     with_columns_of,
 )
-from tonflow.streaming import AppendFlow, run_flows
+from tonflow.streaming import AppendFlow, flows, run_flows
 
 SCHEMA = "id long, name string, updated timestamp"
 OLD, SAME, NEW = datetime(2026, 1, 1), datetime(2026, 2, 1), datetime(2026, 3, 1)
@@ -126,6 +128,113 @@ def test_replacing_keeps_partitioning_and_comment(spark):
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("parted_")]
 
 
+def files_of(spark, name):
+    return {f: os.stat(unquote(urlparse(f).path)).st_mtime_ns for f in spark.table(name).inputFiles()}
+
+
+def parted(spark, name):
+    tables.drop_table(spark, name)
+    rows = [(i, f"n{i}", p) for i, p in enumerate(["a", "b", "c d:e", "it's", None, "f"])]
+    df = spark.createDataFrame(rows, "id long, name string, part string")
+    return tables.write_table(df, name, partition_by=["part"])
+
+
+def content(spark, name):
+    return {r["id"]: (r["name"], r["part"]) for r in spark.table(name).collect()}
+
+
+CHANGES = [(0, "new", "a"), (2, "new", "f"), (4, "new", None), (9, "new", "z"), (3, "new", "it's")]
+CHANGED = {0: ("new", "a"), 1: ("n1", "b"), 2: ("new", "f"), 3: ("new", "it's"), 4: ("new", None), 5: ("n5", "f"), 9: ("new", "z")}
+
+
+def test_upsert_leaves_other_partitions_alone(spark):
+    parted(spark, "touch")
+    before = files_of(spark, "touch")
+    tables.upsert_table(spark.createDataFrame(CHANGES, "id long, name string, part string"), "touch", ["id"])
+    assert content(spark, "touch") == CHANGED
+    after = files_of(spark, "touch")
+    same = {f for f in before if after.get(f) == before[f]}
+    assert len(same) == 1 and "part=b" in same.pop()
+    assert not any("part=c" in f for f in after)  # its only row moved to another partition
+    tables.upsert_table(spark.createDataFrame([(1, "again", "b")], "id long, name string, part string"), "touch", ["id", "part"])
+    assert content(spark, "touch") == CHANGED | {1: ("again", "b")}
+    tables.upsert_table(spark.createDataFrame([], "id long, name string, part string"), "touch", ["id"])
+    assert content(spark, "touch") == CHANGED | {1: ("again", "b")}
+    tables.drop_table(spark, "touch")
+    assert content_of_new(spark, "touch") == {0, 1, 2, 3, 4, 5}
+
+
+def content_of_new(spark, name):
+    """A table of the same name can be made again."""
+    return {r["id"] for r in parted(spark, name).collect()}
+
+
+@pytest.mark.parametrize("at", ["UNSET", "SET LOCATION", "DROP IF EXISTS", "SET TBLPROPERTIES", "delete"])
+def test_upsert_survives_a_crash_at_every_step(spark, monkeypatch, at):
+    parted(spark, "crash")
+    source = spark.createDataFrame(CHANGES, "id long, name string, part string")
+    before = content(spark, "crash")
+    real = type(spark).sql
+
+    def dies(self, text, *args, **kwargs):
+        if at in text:
+            raise OSError("lost")
+        return real(self, text, *args, **kwargs)
+
+    def dies_deleting(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(type(spark), "sql", dies)
+        if at == "delete":
+            m.setattr(tables, "delete_path", dies_deleting)
+        with pytest.raises(OSError):
+            tables.upsert_table(source, "crash", ["id"])
+    spark.catalog.refreshTable("crash")
+    half = content(spark, "crash")
+    assert all(half.get(i) in (before.get(i), CHANGED.get(i)) for i in half)
+    tables.upsert_table(source, "crash", ["id"])
+    assert content(spark, "crash") == CHANGED
+    assert not tables.finish_change(spark, "crash")
+
+
+def test_replacing_is_one_change_of_the_catalog(spark, monkeypatch):
+    tables.drop_table(spark, "one")
+    tables.write_table(spark.range(5), "one", comment="kept")
+
+    def dies(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "delete_path", dies)
+        with pytest.raises(OSError):
+            tables.replace_table(spark.table("one").where("id > 2"), "one")
+    assert sorted(r["id"] for r in spark.table("one").collect()) == [3, 4]
+    tables.replace_table(spark.table("one").where("id > 3"), "one")
+    assert spark.table("one").count() == 1 and tables._layout(spark, "one")[2] == "kept"
+    tables.replace_table(spark.range(3).withColumnRenamed("id", "other"), "one")
+    assert spark.table("one").columns == ["other"] and spark.table("one").count() == 3
+    tables.drop_table(spark, "one")
+    assert tables.write_counted(spark.range(7), "one")[1] == 7
+    assert tables.write_counted(spark.range(2), "one")[1] == 2 and spark.table("one").count() == 9
+
+
+def test_rows_that_turn_up_during_archiving_survive(spark):
+    for name in ("busy", "busy_archive"):
+        tables.drop_table(spark, name)
+    schema, old = "id long, tags map<string,int>, day date", date(2020, 1, 1)
+    tables.write_table(spark.createDataFrame([(1, {"a": 1}, old), (1, {"a": 1}, old), (2, None, date(2026, 7, 1))], schema), "busy")
+
+    def write(rows):
+        rows.write.mode("append").saveAsTable("busy_archive")
+        late = [(1, {"a": 1}, old), (3, {}, old)]
+        spark.createDataFrame(late, schema).write.mode("append").saveAsTable("busy")
+
+    assert tables.archive_and_prune(spark, "busy", "busy_archive", "day", 3, "2026-08-01", write=write)["pruned"]
+    assert sorted(r["id"] for r in spark.table("busy_archive").collect()) == [1, 1]
+    assert sorted(r["id"] for r in spark.table("busy").collect()) == [1, 2, 3]
+
+
 def test_batches_never_split_rows_that_tie(spark):
     rows = [(i, [1, 2, 2, 2, 2, 3, None, 4][i]) for i in range(8)]
     source = spark.createDataFrame(rows, "id long, at long")
@@ -140,19 +249,49 @@ def test_flows_backfill_once_then_increment(spark):
     for name in ("closing", "closing_flows"):
         tables.drop_table(spark, name)
     source = [spark.createDataFrame([(1, OLD), (2, SAME)], "id long, created timestamp")]
-    flows = [
+    both = [
         AppendFlow("backfill", lambda _: source[0], "src", once=True),
         AppendFlow("recurring", lambda since: source[0].where(F.col("created") > F.lit(since)), "src", watermark="created"),
     ]
-    assert run_flows(spark, "closing", flows) == ["backfill", "recurring"]
+    assert run_flows(spark, "closing", both) == ["backfill", "recurring"]
     assert spark.table("closing").count() == 2
     source[0] = source[0].union(spark.createDataFrame([(3, NEW)], "id long, created timestamp"))
-    assert run_flows(spark, "closing", flows) == ["recurring"]
+    assert run_flows(spark, "closing", both) == ["recurring"]
     assert sorted(r["id"] for r in spark.table("closing").collect()) == [1, 2, 3]
     assert high_watermark(spark, "closing", "created") == NEW
     assert high_watermark(spark, "no_such_table", "created") == "1900-01-01 00:00:00"
 
 
+@pytest.mark.parametrize("dies_at", ["before the rows", "after the rows"])
+@pytest.mark.parametrize("by_batch", [True, False])
+def test_flows_repeat_after_a_crash_without_doubling(spark, monkeypatch, dies_at, by_batch):
+    for name in ("calls", "calls_flows"):
+        tables.drop_table(spark, name)
+    rows = spark.createDataFrame([(1, OLD), (2, SAME)], "id long, created timestamp")
+    if not by_batch:
+        tables.write_table(add_batch_columns(rows.limit(0), "src"), "calls")
+    flow = AppendFlow("backfill", lambda _: rows, "src", once=True)
+    real = flows._log
+
+    def dies(spark, target, name, batch, state):
+        if state == flows.DONE and dies_at == "after the rows":
+            raise OSError("lost")
+        real(spark, target, name, batch, state)
+        if state == flows.BEGUN and dies_at == "before the rows":
+            raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(flows, "_log", dies)
+        with pytest.raises(OSError):
+            run_flows(spark, "calls", [flow])
+    if spark.catalog.tableExists("calls"):
+        assert flows.committed(spark, "calls").count() == 0
+    assert run_flows(spark, "calls", [flow]) == ["backfill"]
+    assert sorted(r["id"] for r in flows.committed(spark, "calls").collect()) == [1, 2]
+    assert sorted(r["id"] for r in spark.table("calls").collect()) == [1, 2]
+    assert run_flows(spark, "calls", [flow]) == []
+
+
 def test_increment_with_overlap_finds_late_rows(spark):
     t = spark.createDataFrame([(1, SAME), (2, NEW)], "id long, ts timestamp")
     s = spark.createDataFrame([(1, SAME), (2, NEW), (3, NEW), (4, NEW + timedelta(1))], "id long, ts timestamp")

@@ -9,11 +9,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tonflow.functions.numbers import col
+from tonflow.sources.session import cut_lineage, delete_path
 
 # --- reading ------------------------------------------------------------------------
 
@@ -169,11 +173,6 @@ def write_table(
     return spark.table(name)
 
 
-def create_or_replace(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
-    """Create the table from a query, replacing an older one."""
-    return write_table(df, name, "overwrite", fmt=fmt)
-
-
 def append(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     return write_table(df, name, "append", fmt=fmt)
 
@@ -194,27 +193,137 @@ def _layout(spark: SparkSession, name: str) -> tuple[list[str], str, str | None]
     return partitions, details.get("Provider", "parquet"), details.get("Comment")
 
 
+def write_counted(df: DataFrame, name: str, mode: str = "append", **options) -> tuple[DataFrame, int]:
+    """:func:`write_table`, and how many rows were written; counted as they pass."""
+    seen = Observation(f"written_{uuid.uuid4().hex[:12]}")
+    table = write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, mode, **options)
+    return table, seen.get["rows"]
+
+
+#: Table properties that name a written but not yet finished change, and a folder left behind by one.
+PENDING, LEFT = "tonflow.pending", "tonflow.left"
+
+
+def _location(spark: SparkSession, name: str, partition: str = "") -> str | None:
+    """Folder of a table or of one of its partitions; None where the partition is not known."""
+    try:
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {partition}").collect()
+    except AnalysisException:
+        if not partition:
+            raise
+        return None
+    # A partition's own location comes before that of its table.
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+
+def _spec(values: Mapping[str, object]) -> str:
+    def text(value: object) -> str:
+        if value is None:
+            return "null"
+        quoted = str(value).replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{quoted}'"
+
+    return "PARTITION (" + ", ".join(f"`{c}` = {text(v)}" for c, v in values.items()) + ")"
+
+
+def finish_change(spark: SparkSession, name: str) -> bool:
+    """Finish a change of partitions that was written and announced, but cut off; False if there is none.
+
+    Each step may be repeated: partitions are pointed to their new folders, those left without
+    rows are dropped, the announcement goes, and only then the old folders.
+    """
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    left = properties.get(LEFT)
+    if left is not None:
+        if left != _location(spark, name):  # else the table was not yet pointed away from it
+            delete_path(spark, left)
+        spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{LEFT}')")
+    folder = properties.get(PENDING)
+    if folder is None:
+        return left is not None
+    steps = spark.read.parquet(f"{folder}/_manifest").collect()
+    for step in steps:
+        spec = _spec(step["partition"].asDict())
+        if step["place"] is None:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {spec}")
+            continue
+        place = step["place"].replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec} LOCATION '{place}'")
+        spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{place}'")
+    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{PENDING}')")
+    spark.catalog.refreshTable(name)
+    for step in steps:
+        if step["old"] is not None and step["old"] != step["place"]:
+            delete_path(spark, step["old"])
+    return True
+
+
+def _switch_partitions(df: DataFrame, name: str, touched: Sequence[Mapping[str, object]]) -> DataFrame:
+    """Put ``df`` in place of the ``touched`` partitions of a table; others are not looked at.
+
+    The rows are written to a new folder within the table's, which readers don't see.  A manifest
+    beside them tells where each partition is to lead; one table property announces it.  From then on
+    :func:`finish_change` can be repeated until it gets through, so nothing is lost whatever fails.
+    """
+    spark = df.sparkSession
+    table = spark.table(name)
+    partitions, provider, _ = _layout(spark, name)
+    folder = f"{_location(spark, name)}/_versions/{uuid.uuid4().hex[:12]}"
+    df.select(*table.columns).write.format(provider).partitionBy(*partitions).save(folder)
+    written = spark.read.format(provider).schema(table.schema).load(folder)
+    places = written.select(*partitions, F.input_file_name().alias("_file")).groupBy(*partitions).agg(F.min("_file").alias("_file")).collect()
+    new = {tuple(r[c] for c in partitions): unquote(r["_file"].rsplit("/", 1)[0]) for r in places}
+    wanted = {tuple(t[c] for c in partitions) for t in touched} | set(new)
+    rows = []
+    for values in sorted(wanted, key=repr):
+        partition = dict(zip(partitions, values))
+        rows.append(({c: None if v is None else str(v) for c, v in partition.items()}, new.get(values), _location(spark, name, _spec(partition))))
+    kind = "struct<" + ", ".join(f"`{c}`: string" for c in partitions) + ">"
+    manifest = spark.createDataFrame(rows, f"partition {kind}, place string, old string")
+    manifest.coalesce(1).write.parquet(f"{folder}/_manifest")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PENDING}' = '{folder}')")
+    finish_change(spark, name)
+    return spark.table(name)
+
+
 def replace_table(df: DataFrame, name: str, fmt: str | None = None) -> DataFrame:
     """Replace a table by a DataFrame that may itself read that table.
 
-    The new rows are written under another name first.  Then the old table is renamed away,
-    the new one renamed in, and only then the old one dropped: whatever fails, one of the two
-    is complete.  A partitioned table keeps its name, as renaming would leave its partitions
-    pointing to the old place; its partitions are overwritten from the written copy, which is
-    dropped last.  Format, partitioning and comment stay.
+    The new rows are written to a new folder first.  Then the table is pointed there, which is one
+    change in the catalog, and only then the old folder is deleted: at every moment there is a
+    complete table.  The partitions of a partitioned table are pointed to their new folders
+    one by one (:func:`finish_change` completes that after a crash).  Format, partitioning and
+    comment stay.  Other columns than before make it a new table of the same name.
     """
     spark = df.sparkSession
-    mark = uuid.uuid4().hex[:12]
-    staged, aside = f"{name}_new_{mark}", f"{name}_old_{mark}"
     if not spark.catalog.tableExists(name):
         return write_table(df, name, "errorifexists", fmt=fmt or "parquet")
+    finish_change(spark, name)
     partitions, provider, comment = _layout(spark, name)
-    write_table(df, staged, "errorifexists", (), comment, fmt or provider)
+    table = spark.table(name)
+    same = dict(df.dtypes) == dict(table.dtypes) and fmt in (None, provider)
+    if not same:
+        return _rename_in(df, name, fmt or provider, comment)
     if partitions:
-        order = spark.table(name).columns
-        spark.table(staged).select(*order).write.option("partitionOverwriteMode", "static").insertInto(name, overwrite=True)
-        drop_table(spark, staged)
-        return spark.table(name)
+        touched = [r.asDict() for r in table.select(*partitions).distinct().collect()]
+        return _switch_partitions(df, name, touched)
+    old = _location(spark, name)
+    parent, own = old.rstrip("/").rsplit("/", 1)
+    place = f"{parent}/{own.split('__')[0]}__{uuid.uuid4().hex[:12]}"
+    df.select(*table.columns).write.format(provider).save(place)
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{LEFT}' = '{old}')")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+    spark.catalog.refreshTable(name)
+    finish_change(spark, name)
+    return spark.table(name)
+
+
+def _rename_in(df: DataFrame, name: str, fmt: str, comment: str | None) -> DataFrame:
+    """A table of other columns takes the name: the old one is renamed away first, dropped last."""
+    spark = df.sparkSession
+    mark = uuid.uuid4().hex[:12]
+    staged, aside = f"{name}_new_{mark}", f"{name}_old_{mark}"
+    write_table(df, staged, "errorifexists", (), comment, fmt)
     spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
     try:
         spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
@@ -226,11 +335,32 @@ def replace_table(df: DataFrame, name: str, fmt: str | None = None) -> DataFrame
 
 
 def upsert_table(df: DataFrame, name: str, keys: Sequence[str], newer: str | None = None) -> DataFrame:
-    """Merge into a table, creating it on the first run."""
+    """Merge into a table, creating it on the first run.
+
+    Of a partitioned table only the partitions are rewritten that the source's rows go to or that hold
+    a row with a source's key; where the keys contain the partition columns, these are the
+    source's own, else a scan of the key columns finds them.
+    """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
         return write_table(df, name)
-    return replace_table(merge_upsert(spark.table(name), df, keys, newer), name)
+    finish_change(spark, name)
+    partitions, _, _ = _layout(spark, name)
+    target = spark.table(name)
+    if not partitions:
+        return replace_table(merge_upsert(target, df, keys, newer), name)
+    source = cut_lineage(df)
+    touched = source.select(*partitions)
+    if not set(partitions) <= set(keys):
+        known = source.select(*[F.col(k).alias(f"_s_{k}") for k in keys])
+        alike = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
+        touched = touched.unionByName(target.join(known, alike, "left_semi").select(*partitions))
+    touched = [r.asDict() for r in touched.distinct().collect()]  # one row per partition
+    if not touched:
+        return target
+    here = [reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(v)) for c, v in t.items()]) for t in touched]
+    part = target.where(reduce(Column.__or__, here))
+    return _switch_partitions(merge_upsert(part, source, keys, newer), name, touched)
 
 
 def truncate_table(spark: SparkSession, name: str) -> DataFrame:
@@ -253,30 +383,48 @@ def archive_and_prune(
 ) -> dict:
     """Copy rows older than ``keep_months`` to an archive table, then remove them.
 
-    Whole rows are compared, NULLs like values and repeated rows by their number: what the
-    archive lacks is appended, and pruning happens only when it lacks nothing any more.  A
-    run that died half way can simply be repeated.  The archive is a catalog table unless
+    The old rows are written down once, at the start.  Whole rows are compared with the archive, by a
+    digest of all columns, NULLs like values and repeated rows by their number: what the archive
+    lacks is appended, and pruning happens only when it lacks nothing any more.  Exactly the rows
+    written down are pruned; old rows that turn up meanwhile wait for the next run.  A run that
+    died half way can simply be repeated.  The archive is a catalog table unless
     ``read`` (None where there is none yet) and ``write`` lead elsewhere, to a database say.
     """
     read = read or (lambda: spark.table(archive) if spark.catalog.tableExists(archive) else None)
     write = write or (lambda rows: rows.write.mode("append").saveAsTable(archive))
     today = F.lit(as_of).cast("date") if as_of else F.current_date()
-    # The cutoff is fixed once so that all steps agree on it.
+    # The cutoff is fixed once so that all steps agree on it, and so are the rows.
     cutoff = F.lit(spark.range(1).select(F.add_months(today, -keep_months).alias("d")).first()["d"])
-    live = spark.table(table)
     is_old = F.col(date_column) < cutoff
-    old = live.where(is_old)
+    live = spark.table(table)
+    old = cut_lineage(_numbered(live.where(is_old)))
     result = {"table": table, "old_rows": old.count(), "archived": False, "pruned": False}
     if not result["old_rows"]:
         return result
 
     def missing() -> DataFrame:
         done = read()
-        return old if done is None else old.exceptAll(done.where(is_old).select(*old.columns))
+        if done is None:
+            return old
+        known = _numbered(done.where(is_old).select(*live.columns)).select(*_ROW)
+        return old.join(known, _ROW, "left_anti")
 
-    write(missing())
+    write(missing().select(*live.columns))
     result["archived"] = True
     if not missing().isEmpty():
         raise ArchiveIncomplete(f"{archive} lacks old rows of {table}")
-    replace_table(delete_where(live, is_old), table)
+    # Rows that turned up since are not among those archived, and stay.
+    now = spark.table(table)
+    late = _numbered(now.where(is_old)).join(old.select(*_ROW), _ROW, "left_anti").select(*live.columns)
+    replace_table(delete_where(now, is_old).unionByName(late), table)
     return result | {"pruned": True}
+
+
+_ROW = ["_row_digest", "_row_copy"]
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """Rows with a digest of all their values, and a number that tells equal rows apart."""
+    digest = F.sha2(F.to_json(F.struct(*df.columns)), 256)
+    copy = F.row_number().over(W.partitionBy("_row_digest").orderBy(F.lit(0)))
+    return df.withColumn("_row_digest", digest).withColumn("_row_copy", copy)

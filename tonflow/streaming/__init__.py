@@ -7,12 +7,15 @@ from tonflow.streaming.live import (
     rollup_stream,
     spacing_stream,
     speed_stream,
+    table_stream,
     to_files,
     to_table,
 )
+from tonflow.streaming.watch import StreamLog, watched
 
 __all__ = [
     "AppendFlow",
+    "StreamLog",
     "event_time",
     "file_stream",
     "rollup_stream",
@@ -20,6 +23,8 @@ __all__ = [
     "run_flows",
     "spacing_stream",
     "speed_stream",
+    "table_stream",
     "to_files",
     "to_table",
+    "watched",
 ]

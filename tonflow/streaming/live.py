@@ -24,6 +24,14 @@ def file_stream(
     return reader.load(path)
 
 
+def table_stream(spark: SparkSession, table: str, files_per_batch: int | None = None) -> DataFrame:
+    """A catalog table that rows are appended to, as a stream."""
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.table(table)
+
+
 def event_time(df: DataFrame, column: str, lateness: str = LATENESS) -> DataFrame:
     """Watermark on a time column; later rows are dropped, as there is no side output.
 

@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from tonflow.functions import geo
-from tonflow.operators import spatial
+from tonflow.operators import quality, spatial, tables
 from tonflow.plans import speed, tracking
-from tonflow.sources.session import shared_folder
-from tonflow.streaming import live
+from tonflow.sources.session import cut_lineage, shared_folder
+from tonflow.streaming import live, watch
 from verification import inputs
 from verification.cases_haulage import BAND, CLOSING
 from verification.ctes import CODES, pick, rd
@@ -313,3 +313,100 @@ def stream_spacing_overall(spark, d):
     )
     query.awaitTermination()
     return spark.read.parquet(f"{folder}/out")
+
+
+# --- what streams tell about themselves -----------------------------------------------
+
+
+def logged(spark, start):
+    """Run a stream with a log of its batches; the log."""
+    folder = shared_folder(spark)
+    log = watch.StreamLog(spark, f"{folder}/log")
+    spark.streams.addListener(log)
+    try:
+        log.run(start(folder))
+    finally:
+        spark.streams.removeListener(log)
+    return log
+
+
+@case(
+    "stream_expectations",
+    f"""SELECT 'closing.valid_timestamps' AS expectation, count(*) AS rows, count(*) FILTER (WHERE event_id % 5 = 0 OR event_id % 7 = 0) AS missed FROM closing
+        UNION ALL SELECT 'closing.known_speed', count(*), count(*) FILTER (WHERE average_speed IS NULL) FROM closing""",
+    closing=CLOSING,
+)
+def stream_expectations(spark, d):
+    """Rows of the cleaned stream that miss a rule, counted as they pass and logged per batch."""
+    raw = inputs.closings_of(event_stream(spark, d))
+    raw = raw.withColumns(
+        {
+            "timestamp_out_local": F.when(F.col("id") % 5 != 0, F.col("timestamp_in_local")),
+            "timestamp_in_local": F.when(F.col("id") % 7 != 0, F.col("timestamp_in_local")),
+        }
+    )
+    rules = speed.WATCH_RULES | {"known_speed": "average_speed IS NOT NULL"}
+    kept = watch.watched(quality.expect_or_drop(raw, **speed.DROP_RULES), "closing", rules)
+    log = logged(spark, lambda folder: live.to_files(kept.select("id"), f"{folder}/out", f"{folder}/state"))
+    return log.expectations().groupBy("expectation").agg(F.sum("rows").alias("rows"), F.sum("missed").alias("missed"))
+
+
+@geo_case(
+    "stream_spacing_expectations",
+    f"""SELECT 'spacing.paired_trucks_present' AS expectation, count(*) AS rows, count(*) FILTER (WHERE truk IS NULL OR truk_depan IS NULL) AS missed FROM pairs WHERE {CLOSED}
+        UNION ALL SELECT 'spacing.non_negative_jarak', count(*), count(*) FILTER (WHERE NOT (jarak IS NULL OR jarak >= 0)) FROM pairs WHERE {CLOSED}""",
+)
+def stream_spacing_expectations(spark, d):
+    pairs = live.spacing_stream(inputs.positions_of(event_stream(spark, d)), inputs.devices(spark, d), inputs.lanes(spark, d))
+    seen = watch.watched(pairs, "spacing", tracking.EXPECTATIONS)
+    log = logged(spark, lambda folder: live.to_files(seen, f"{folder}/out", f"{folder}/state"))
+    return log.expectations().groupBy("expectation").agg(F.sum("rows").alias("rows"), F.sum("missed").alias("missed"))
+
+
+@case(
+    "stream_late_rows",
+    """WITH p AS (SELECT *, event_id % 4 = 0 AS second FROM events), w AS (SELECT max(ts) - INTERVAL 3 DAY AS mark FROM p WHERE NOT second)
+       SELECT count(*) AS input_rows, count(*) FILTER (WHERE second AND ts <= mark) AS dropped, count(*) FILTER (WHERE NOT second OR ts > mark) AS kept FROM p, w""",
+)
+def stream_late_rows(spark, d):
+    """Every fourth event comes in a second batch; what the watermark has passed by then is dropped and counted."""
+    events = inputs.table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    source = f"{shared_folder(spark)}/events"
+    state = {}
+    late = F.col("event_id") % 4 == 0
+
+    def start(folder):
+        state["out"] = f"{folder}/out"
+        stream = live.event_time(live.file_stream(spark, source, events.schema), "ts", "3 days")
+        return live.to_files(stream.dropDuplicatesWithinWatermark(["event_id"]), f"{folder}/out", f"{folder}/state")
+
+    folder = shared_folder(spark)
+    log = watch.StreamLog(spark, f"{folder}/log")
+    spark.streams.addListener(log)
+    try:
+        for part in (~late, late):
+            events.where(part).write.mode("append").parquet(source)
+            log.run(start(folder))
+            log.forget()
+    finally:
+        spark.streams.removeListener(log)
+    kept = spark.read.parquet(state["out"]).agg(F.count(F.lit(1))).scalar()
+    return log.late().agg(F.sum("input_rows").alias("input_rows"), F.sum("dropped").alias("dropped"), kept.alias("kept"))
+
+
+@case(
+    "stream_tables",
+    f"""SELECT event_id AS id, {BAND} AS speed_category, CAST(timestamp_in AS DATE) AS date, company_code_standard FROM closing""",
+    closing=CLOSING,
+)
+def stream_tables(spark, d):
+    """Files to a catalog table, and from that table on to another, each with its own checkpoint."""
+    folder, mark = shared_folder(spark), uuid.uuid4().hex[:10]
+    bronze, silver = f"closing_bronze_{mark}", f"closing_silver_{mark}"
+    live.to_table(inputs.closings_of(event_stream(spark, d)), bronze, f"{folder}/bronze").awaitTermination()
+    rows = live.speed_stream(live.table_stream(spark, bronze)).select("id", "speed_category", "date", "company_code_standard")
+    live.to_table(rows, silver, f"{folder}/silver").awaitTermination()
+    out = cut_lineage(spark.table(silver))
+    for name in (bronze, silver):
+        tables.drop_table(spark, name)
+    return out
