@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tonflow.functions import codes, geo, numbers, text, times
 from tonflow.operators import spatial
-from tonflow.operators.ordered import previous_row
+from tonflow.operators.ordered import previous_row, running_total
 from tonflow.operators.windows import first_per_key, top_per_key
+from tonflow.sources.session import cut_lineage
 
 # --- Fixed values -----------------------------------------------------------------
 PAIR_WINDOW = "5 seconds"
@@ -298,3 +299,48 @@ def feature_collections(features: DataFrame, by: Column) -> DataFrame:
     joined = F.concat_ws(",", F.transform(F.sort_array(F.collect_list(F.struct("id", "feature"))), lambda f: f["feature"]))
     document = F.concat(F.lit('{"type":"FeatureCollection","features":['), joined, F.lit("]}"))
     return features.groupBy(by.alias("tile")).agg(document.alias("collection"))
+
+
+def map_documents(
+    features: DataFrame, lon: str, lat: str, max_bytes: int = 1 << 20, id: str = "id", feature: str = "feature", depth: int = 18
+) -> DataFrame:
+    """FeatureCollections that fit a byte bound, however many features lie close together.
+
+    The world is quartered again and again; a tile is split as long as its features (with a comma
+    each) take more than ``max_bytes``, so tiles are small where features crowd.  A tile of the
+    last ``depth`` that is still too large is cut into numbered documents in the order of ids; a
+    document then takes at most the bound and the one feature that crosses it.  Columns: ``tile``
+    (level/x/y), ``document`` (from 0), ``features``, ``collection``.
+
+    Sizes are summed per place and level before the shuffle, and running sums go over dealt slots
+    (:func:`tonflow.operators.ordered.running_total`), so no task holds more than one document.
+    """
+    side = float(2**depth)
+
+    def cell(value: Column, span: float) -> Column:
+        return F.greatest(F.least(F.floor((value + span / 2) / span * side), F.lit(2**depth - 1)), F.lit(0))
+
+    rows = features.select(
+        F.col(id).alias("id"), F.col(feature).alias("feature"), cell(F.col(lon), 360.0).alias("x"), cell(F.col(lat), 180.0).alias("y")
+    ).withColumn("bytes", F.octet_length("feature") + 1)
+    places = cut_lineage(rows.groupBy("x", "y").agg(F.sum("bytes").alias("bytes")))
+    levels = places.select("x", "y", "bytes", F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("level"))
+    # Places within a tile share the leading bits of their numbers.
+    scale = F.pow(F.lit(2.0), F.lit(depth) - F.col("level"))
+    levels = levels.withColumns({"tx": F.floor(F.col("x") / scale), "ty": F.floor(F.col("y") / scale)})
+    tiles = levels.groupBy("level", "tx", "ty").agg(F.sum("bytes").alias("total"))
+    fitting = tiles.where((F.col("total") <= max_bytes) | (F.col("level") == depth)).select("level", "tx", "ty")
+    first = (
+        levels.join(fitting, ["level", "tx", "ty"])
+        .groupBy("x", "y")
+        .agg(F.min(F.struct("level", "tx", "ty")).alias("t"))
+        .select("x", "y", F.concat_ws("/", "t.level", "t.tx", "t.ty").alias("tile"))
+    )
+    placed = running_total(rows.join(first, ["x", "y"]), ["id"], "bytes", ["tile"], "end")
+    document = F.floor((F.col("end") - F.col("bytes")) / F.lit(max_bytes))
+    grouped = placed.groupBy("tile", document.alias("document")).agg(
+        F.count(F.lit(1)).alias("features"), F.sort_array(F.collect_list(F.struct("id", "feature"))).alias("_all")
+    )
+    joined = F.concat_ws(",", F.transform("_all", lambda f: f["feature"]))
+    text_of = F.concat(F.lit('{"type":"FeatureCollection","features":['), joined, F.lit("]}"))
+    return grouped.select("tile", "document", "features", text_of.alias("collection"))

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from tonflow.functions import codes, numbers, text, times
 from tonflow.operators import ordered, quality, tables, windows
-from tonflow.sources.files import file_inventory
+from tonflow.sources.files import file_inventory, read_csv_text
 from tonflow.sources.increments import add_batch_columns, increment, with_columns_of
-from tonflow.sources.session import cut_lineage
+from tonflow.sources.session import cut_lineage, shared_folder
+from tonflow.sources.tables import first_usable, optional_table, resolve
+from tonflow.streaming import flows
 from verification import inputs
 from verification.ctes import pct, rd
 from verification.registry import case
@@ -507,3 +509,96 @@ def upsert_partitioned(spark, d):
     out = cut_lineage(spark.table(name).withColumn("partitions", F.lit(parts)))
     tables.drop_table(spark, name)
     return out
+
+
+@case("flows_after_crash", "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'history' ELSE 'recent' END AS _source FROM events")
+def flows_after_crash(spark, d):
+    """A backfill whose run died after its rows were written, run again, and an increment after it."""
+    events = inputs.table(spark, d, "events").select("event_id")
+    target = own_name("calls")
+    old = events.where("event_id % 2 = 0")
+    add_batch_columns(old, "history", "half").write.mode("append").partitionBy("_batch_id").saveAsTable(target)
+    flows._log(spark, target, "backfill", "half", flows.BEGUN)  # what a run leaves that dies here
+    steps = [
+        flows.AppendFlow("backfill", lambda _: old, "history", once=True),
+        flows.AppendFlow("recurring", lambda _: events.where("event_id % 2 <> 0"), "recent"),
+    ]
+    flows.run_flows(spark, target, steps)
+    out = cut_lineage(flows.committed(spark, target).select("event_id", "_source"))
+    for name in (target, flows.log_name(target)):
+        tables.drop_table(spark, name)
+    return out
+
+
+@case("csv_round_trip", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority || chr(10) || '\"' || o_orderstatus || '\", ' || o_orderkey AS note FROM orders")
+def csv_round_trip(spark, d):
+    """Text with line breaks, quotes and commas through a CSV file."""
+    note = F.concat_ws("", "o_orderpriority", F.lit('\n"'), "o_orderstatus", F.lit('", '), F.col("o_orderkey").cast("string"))
+    path = f"{shared_folder(spark)}/orders"
+    inputs.table(spark, d, "orders").select("o_orderkey", note.alias("note")).write.csv(path, header=True, quote='"', escape='"')
+    return read_csv_text(spark, path)
+
+
+@case(
+    "resolved_sources",
+    """SELECT 'TABLE' AS origin, count(*) AS rows FROM customer UNION ALL SELECT 'FILE', count(*) FROM supplier""",
+)
+def resolved_sources(spark, d):
+    """A source that the catalog knows, and one that only a file has."""
+    name, path = own_name("customers"), f"{shared_folder(spark)}/suppliers"
+    tables.write_table(inputs.table(spark, d, "customer"), name)
+    inputs.table(spark, d, "supplier").write.csv(path, header=True)
+    found = [resolve(spark, t, path, read_csv_text) for t in (name, own_name("nothing"))]
+    rows = [df.agg(F.lit(origin.split(":")[0]).alias("origin"), F.count(F.lit(1)).alias("rows")) for df, origin in found]
+    out = cut_lineage(rows[0].unionByName(rows[1]))
+    tables.drop_table(spark, name)
+    return out
+
+
+@case(
+    "shipment_first_usable",
+    f"""SELECT CAST(l_shipdate AS DATE) AS production_date, {rd("sum(l_quantity)", 3)} AS shipment_ton, false AS is_estimated FROM lineitem GROUP BY ALL""",
+)
+def shipment_first_usable(spark, d):
+    """Of three candidates the first is not there, the second lacks a column, the third serves."""
+    lacking, usable = own_name("lacking"), own_name("usable")
+    li = inputs.table(spark, d, "lineitem").select(F.col("l_shipdate").alias("day"), F.col("l_quantity").alias("ton"))
+    tables.write_table(li.drop("ton"), lacking)
+    tables.write_table(li, usable)
+    names = [{"table": t, "date_col": "day", "ton_col": "ton"} for t in (own_name("nothing"), lacking, usable)]
+    if optional_table(spark, lacking, ["day", "ton"]) is not None:
+        raise AssertionError("a table without the column is not usable")
+    out = cut_lineage(first_usable(spark, names).drop("shipment_source"))
+    for name in (lacking, usable):
+        tables.drop_table(spark, name)
+    return out
+
+
+@case(
+    "table_life",
+    """SELECT 'created' AS step, count(*) AS rows FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'appended', count(*) FROM orders
+       UNION ALL SELECT 'written', count(*) FROM orders WHERE o_orderstatus <> 'F' UNION ALL SELECT 'truncated', 0 UNION ALL SELECT 'dropped', 0""",
+)
+def table_life(spark, d):
+    """Created from a query, appended to with the number of rows given back, emptied, dropped."""
+    orders, name = inputs.table(spark, d, "orders"), own_name("orders")
+    view = tables.temp_view(orders, own_name("orders_view"))
+    counts = [("created", tables.write_table(view.where("o_orderstatus = 'F'"), name).count())]
+    written = tables.write_counted(orders.where("o_orderstatus <> 'F'"), name)[1]
+    counts += [("appended", spark.table(name).count()), ("written", written), ("truncated", tables.truncate_table(spark, name).count())]
+    tables.drop_table(spark, name)
+    counts.append(("dropped", int(spark.catalog.tableExists(name))))
+    return spark.createDataFrame(counts, "step string, rows long")
+
+
+@case(
+    "order_calendar",
+    """SELECT CAST(day AS DATE) AS day, count(o_orderkey) AS orders FROM (SELECT unnest(generate_series((SELECT min(CAST(o_orderdate AS DATE)) FROM orders),
+       (SELECT max(CAST(o_orderdate AS DATE)) FROM orders), INTERVAL 1 DAY)) AS day) LEFT JOIN orders ON CAST(o_orderdate AS DATE) = day GROUP BY ALL""",
+)
+def order_calendar(spark, d):
+    """Every day between the first and the last order, also those without any."""
+    orders = inputs.table(spark, d, "orders").select(F.to_date("o_orderdate").alias("day"), "o_orderkey")
+    first, last = orders.agg(F.min("day"), F.max("day")).first()
+    days = times.date_range(spark, str(first), str(last))
+    return days.join(orders, "day", "left").groupBy("day").agg(F.count("o_orderkey").alias("orders"))

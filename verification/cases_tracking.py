@@ -208,6 +208,33 @@ def feature_collections(spark, d):
     return tracking.feature_collections(geofence_features(spark, d), F.col("id") % 2)
 
 
+TILE_BYTES = 20_000
+
+
+@case(
+    "map_documents",
+    f"""WITH f AS (SELECT o_orderkey AS id, '{{"type":"Feature","id":' || o_orderkey || ',"properties":{{"status":"' || o_orderstatus || '"}}}}' AS feature,
+                      CAST(floor((115.0::DOUBLE + (o_orderkey % 100) * 0.0005::DOUBLE + 180.0) / 360.0 * 262144.0) AS BIGINT) AS x,
+                      CAST(floor((-3.5::DOUBLE + (o_custkey % 10) * (o_custkey % 10) * 0.001::DOUBLE + 90.0) / 180.0 * 262144.0) AS BIGINT) AS y FROM orders),
+        b AS (SELECT *, length(feature) + 1 AS bytes FROM f),
+        l AS (SELECT level, x >> (18 - level) AS tx, y >> (18 - level) AS ty, sum(bytes) AS total FROM b, (SELECT CAST(unnest(range(19)) AS INTEGER) AS level) GROUP BY ALL),
+        t AS (SELECT id, feature, bytes, arg_min(level || '/' || tx || '/' || ty, level) AS tile FROM b JOIN l
+              ON tx = x >> (18 - level) AND ty = y >> (18 - level) AND (total <= {TILE_BYTES} OR level = 18) GROUP BY id, feature, bytes),
+        d AS (SELECT *, CAST((sum(bytes) OVER (PARTITION BY tile ORDER BY id) - bytes) // {TILE_BYTES} AS BIGINT) AS document FROM t)
+        SELECT tile, document, count(*) AS features, '{{"type":"FeatureCollection","features":[' || string_agg(feature, ',' ORDER BY id) || ']}}' AS collection
+        FROM d GROUP BY tile, document""",
+)
+def map_documents(spark, d):
+    """Orders as points on a map, in documents of bounded size."""
+    o = inputs.table(spark, d, "orders")
+    feature = F.concat(F.lit('{"type":"Feature","id":'), F.col("o_orderkey").cast("string"), F.lit(',"properties":{"status":"'), "o_orderstatus", F.lit('"}}'))
+    points = o.select(
+        F.col("o_orderkey").alias("id"), feature.alias("feature"), (F.lit(115.0) + (F.col("o_orderkey") % 100) * F.lit(0.0005)).alias("lon"),
+        (F.lit(-3.5) + (F.col("o_custkey") % 10) * (F.col("o_custkey") % 10) * F.lit(0.001)).alias("lat"),
+    )
+    return tracking.map_documents(points, "lon", "lat", TILE_BYTES)
+
+
 # --- streaming ----------------------------------------------------------------------
 
 
