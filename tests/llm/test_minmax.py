@@ -124,3 +124,16 @@ def test_labels_travel_along_a_chain(spark):
     labels = minmax.components(spark.createDataFrame(chain, "a binary, b binary"))
     assert labels.groupBy(F.col("label").cast("string")).count().count() == 2
     assert labels.count() == 43
+
+
+@pytest.mark.parametrize("per_task", [2000, 60])
+def test_large_group_of_near_copies_ends_in_two_rounds(spark, monkeypatch, per_task):
+    """Many copies of one text, most of them not similar enough to it, some similar to each other."""
+    monkeypatch.setattr(minmax, "PER_TASK", per_task)
+    rounds = []
+    real = minmax.compared
+    monkeypatch.setattr(minmax, "compared", lambda *a: rounds.append(1) or real(*a))
+    rows = list(enumerate(copies(11, 120, 400, 8)))
+    got, _ = run(spark, rows)
+    assert got == brute(rows)
+    assert len(rounds) <= 2

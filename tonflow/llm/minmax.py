@@ -14,10 +14,10 @@ component yet.  Only links that join components leave the task.
 
 In a group of several parts, similar members of different parts remain.  They can only be
 similar if their differences from the hub share an element early in a fixed order (elements
-that the hub lacks come first): the prefix filter, applied to differences.  Members of two
-components that share such an element form a smaller bucket without the hub, and the same is
-done again.  So no similar pair that met in a bucket is missed, and the number of comparisons
-follows the number of documents, however large a group is.
+that the hub lacks come first): the prefix filter, applied to differences.  So the members of a
+second and last round meet by these elements: all that share one, unless they are in one
+component already, are compared with each other, in pairs of blocks where they are more than a
+task takes.  No similar pair that met in a bucket is missed, and two rounds do for any group.
 """
 
 from __future__ import annotations
@@ -28,10 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonflow.llm.common import code_on_workers, pieces, stored
+from tonflow.llm.common import code_on_workers, pieces
+from tonflow.sources.session import Scratch
 
 BANDS, PER_BAND = 20, 4
 PERMUTATIONS = BANDS * PER_BAND // 2
@@ -144,13 +145,15 @@ def difference_prefix(own: np.ndarray, hub: np.ndarray, percent: int) -> np.ndar
     return np.concatenate([added, lacking])[:keep]
 
 
-def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+def spanning_links(sets: list[np.ndarray], percent: int, labels: list | None = None) -> list[tuple[int, int]]:
     """Links between sets that are similar, as few as join what is similar; set 0 is the hub.
 
     After the hub, a set is compared with those of other components that share an element of
-    its difference's prefix, elements that few differences have coming first.
+    its difference's prefix, elements that few differences have coming first.  Sets with the same
+    one of ``labels`` (None: unknown) are in one component from the beginning.
     """
-    top = list(range(len(sets)))
+    first: dict = {}
+    top = [i if label is None else first.setdefault(label, i) for i, label in enumerate(labels or [None] * len(sets))]
 
     def root(x: int) -> int:
         while top[x] != x:
@@ -161,10 +164,13 @@ def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]
         both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
         return 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both)
 
-    links = [(i, 0) for i in range(1, len(sets)) if similar(i, 0)]
-    for i, _ in links:
-        top[i] = 0
-    if len(links) >= len(sets) - 1 or len(sets) == 2:
+    links = []
+    for i in range(1, len(sets)):
+        if root(i) != root(0) and similar(i, 0):
+            x, y = sorted((root(i), root(0)))
+            top[y] = x
+            links.append((i, 0))
+    if len(sets) == 2 or all(root(i) == root(0) for i in range(1, len(sets))):
         return links
     differences = [np.setxor1d(s, sets[0], assume_unique=True) for s in sets]
     ends = np.cumsum([len(d) for d in differences])
@@ -190,41 +196,35 @@ def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]
     return links
 
 
-def compared(docs: DataFrame, groups: DataFrame, classes: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
-    """Compare groups (grp, hub, member) on full sets, part by part.
-
-    Gives rows of two kinds: links (a, b), and, of groups with several parts, members ``a`` with
-    the ``prefix`` of their difference from the hub.  Texts are fetched by the id and the
-    hash of one document of each class.
-    """
-    code_on_workers(docs.sparkSession)
-    load = F.greatest(F.count("*") / PER_TASK, F.sum("size") / SHINGLES_PER_TASK)
-    sized = groups.join(classes.select(F.col("class").alias("member"), "size"), "member")
-    parts = sized.groupBy("grp", "hub").agg(F.ceil(load).cast("int").alias("parts"))
-    members = groups.join(parts.select("grp", "parts"), "grp").select(
-        "grp", "parts", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("part"),
-        F.lit(1).alias("rank"), F.col("member").alias("class"),
-    )
-    hubs = parts.select(
-        "grp", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("rank"),
-        F.col("hub").alias("class"),
-    )
-    asked = members.unionByName(hubs).join(classes.select("class", "id", "key"), "class")
+def fetched(docs: DataFrame, classes: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(class, text): one text of each wanted class, found by the id and the hash of one of its documents."""
     texts = docs.select(
         F.col(doc_id).alias("id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("key"), F.col(text).cast("binary").alias("text")
     )
+    asked = wanted.distinct().join(classes.select("class", "id", "key"), "class")
+    met = texts.alias("t").join(asked.alias("a"), (F.col("t.key") == F.col("a.key")) & F.col("t.id").eqNullSafe(F.col("a.id")))
+    # Rows alike in id and text meet here, before they are shuffled again.
+    return met.groupBy("class").agg(F.first("text").alias("text"))
+
+
+def compared(texts: DataFrame, tasks: DataFrame, percent: int) -> DataFrame:
+    """Compare tasks (grp, part, split, rank, class, label) on full sets; rank 0 is the hub.
+
+    Gives rows of two kinds: links (a, b), and, of groups that are ``split`` into parts, members ``a``
+    with the ``prefix`` of their difference from the hub.
+    """
+    code_on_workers(texts.sparkSession)
     met = (
-        texts.alias("t")
-        .join(asked.alias("a"), (F.col("t.key") == F.col("a.key")) & F.col("t.id").eqNullSafe(F.col("a.id")))
-        .select("grp", "parts", "part", "rank", "class", "text")
+        tasks.join(texts, "class")
+        .select("grp", "part", "split", "rank", "class", "label", "text")
         .repartition("grp", "part")
         .sortWithinPartitions("grp", "part", "rank", "class")
     )
 
-    def solved(grp: int, parts: int, names: list[bytes], sets: list[np.ndarray]) -> pa.RecordBatch:
-        links = spanning_links(sets, percent)
+    def solved(grp: int, split: bool, names: list[bytes], sets: list[np.ndarray], labels: list) -> pa.RecordBatch:
+        links = spanning_links(sets, percent, labels)
         a, b, prefix = [names[i] for i, _ in links], [names[j] for _, j in links], [None] * len(links)
-        if parts > 1:
+        if split:
             a += names[1:]
             b += [None] * (len(names) - 1)
             prefix += [difference_prefix(s, sets[0], percent).view(np.int64) for s in sets[1:]]
@@ -235,30 +235,105 @@ def compared(docs: DataFrame, groups: DataFrame, classes: DataFrame, doc_id: str
         )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, at, names, sets = _Words(), None, [], []
+        words, at, names, sets, labels = _Words(), None, [], [], []
         for batch in pieces(batches, "text", 1 << 20):
-            for grp, parts, part, _, name, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if at != (grp, parts, part):
+            for grp, part, split, _, name, label, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != (grp, part, split):
                     if sets:
-                        yield solved(*at[:2], names, sets)
-                    at, names, sets = (grp, parts, part), [], []
-                if not names or names[-1] != name:  # else a repeated row
+                        yield solved(at[0], at[2], names, sets, labels)
+                    at, names, sets, labels = (grp, part, split), [], [], []
+                if not names or name not in (names[0], names[-1]):
                     names.append(name)
                     sets.append(shingles(body, words))
+                    labels.append(label)
         if sets:
-            yield solved(*at[:2], names, sets)
+            yield solved(at[0], at[2], names, sets, labels)
 
     return met.mapInArrow(compare, "grp bigint, a binary, b binary, prefix array<bigint>")
 
 
-def components(links: DataFrame) -> DataFrame:
+def _load() -> Column:
+    return F.ceil(F.greatest(F.count("*") / PER_TASK, F.sum("size") / SHINGLES_PER_TASK))
+
+
+_TASK = ("grp", "part", "split", "rank", "class", "label")
+
+
+def _first_tasks(groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """Groups (grp, hub, member) in parts, each with the hub."""
+    sized = groups.join(classes.select(F.col("class").alias("member"), "size"), "member")
+    parts = sized.groupBy("grp", "hub").agg(_load().cast("long").alias("parts")).withColumn("split", F.col("parts") > 1)
+    unknown = F.lit(None).cast("binary").alias("label")
+    members = groups.join(parts.select("grp", "parts", "split"), "grp").select(
+        "grp", F.pmod(F.xxhash64("member"), F.col("parts")).alias("part"), "split", F.lit(1).alias("rank"),
+        F.col("member").alias("class"), unknown,
+    )
+    hubs = parts.select(
+        "grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "split", F.lit(0).alias("rank"),
+        F.col("hub").alias("class"), unknown,
+    )
+    return members.unionByName(hubs).select(*_TASK)
+
+
+def _last_tasks(open_: DataFrame, hubs: DataFrame, classes: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
+    """Members (grp, a, prefix) of split groups that share an element and are not in one component.
+
+    Elements with the same members count once.  More members than a task takes are dealt to blocks of half
+    a task, and each pair of blocks is a task.
+    """
+    named = open_.join(labels, open_["a"] == labels["node"], "left").select(
+        "grp", F.col("a").alias("member"), F.coalesce("label", "a").alias("label"), "prefix"
+    )
+    spans = named.groupBy("grp").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    shared = scratch.keep(
+        named.join(spans.select("grp"), "grp")
+        .select("grp", "member", "label", F.explode("prefix").alias("element"))
+        .select(F.col("grp").alias("parent"), F.xxhash64("grp", "element").alias("bucket"), "member", "label")
+    )
+    buckets = (
+        shared.join(classes.select(F.col("class").alias("member"), "size"), "member")
+        .groupBy("parent", "bucket")
+        .agg(
+            F.min("label").alias("low"), F.max("label").alias("high"), _load().alias("load"),
+            F.count("*").alias("n"), F.bit_xor(F.xxhash64("member")).alias("who"),
+        )
+        .where("low <> high")
+        .groupBy("parent", "n", "who")
+        .agg(F.min("bucket").alias("bucket"), F.max("load").alias("load"))
+        .withColumn("blocks", F.when(F.col("load") > 1, 2 * F.col("load")).otherwise(F.lit(1)).cast("long"))
+    )
+    buckets = scratch.keep(buckets.select("parent", "bucket", "blocks"))
+    met = shared.join(buckets.drop("parent"), "bucket")
+    block = F.pmod(F.xxhash64("member"), F.col("blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    met = met.select("bucket", "blocks", "member", "label", block.alias("own"), other.alias("other"))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    members = met.select(
+        F.col("bucket").alias("grp"), (low * F.col("blocks") + high).alias("part"), F.lit(False).alias("split"), F.lit(1).alias("rank"),
+        F.col("member").alias("class"), "label",
+    )
+    # Every task needs its group's hub, from which differences are taken.
+    i = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    j = F.explode(F.sequence(F.col("i"), F.col("blocks") - 1))
+    numbered = buckets.select("parent", "bucket", "blocks", i.alias("i")).select("parent", "bucket", "blocks", "i", j.alias("j"))
+    centre = numbered.join(hubs.select(F.col("grp").alias("parent"), "hub").distinct(), "parent")
+    centre = centre.join(labels, centre["hub"] == labels["node"], "left").select(
+        F.col("bucket").alias("grp"), (F.col("i") * F.col("blocks") + F.col("j")).alias("part"), F.lit(False).alias("split"),
+        F.lit(0).alias("rank"), F.col("hub").alias("class"), F.coalesce("label", "hub").alias("label"),
+    )
+    return members.unionByName(centre).select(*_TASK)
+
+
+def components(links: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(node, label): the smallest node that each linked node can reach.
 
     In each round a node takes the smallest label around it, then the label of that label,
-    until nothing changes.  Nothing but a count reaches the driver.
+    until nothing changes.  Nothing but a count and a checksum reaches the driver.
     """
-    both = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
+    scratch = scratch or Scratch(links.sparkSession)
+    both = scratch.keep(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = scratch.keep(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
+    state = _state(labels)
     while True:
         around = (
             both.join(labels, both["b"] == labels["node"])
@@ -267,35 +342,36 @@ def components(links: DataFrame) -> DataFrame:
             .groupBy("node")
             .agg(F.min("label").alias("label"))
         )
-        around = stored(around)
+        around = scratch.keep(around, labels)
         target = around.select(F.col("node").alias("label"), F.col("label").alias("next"))
         jumped = around.join(target, "label", "left").select("node", F.least("label", F.coalesce("next", "label")).alias("label"))
-        new = stored(jumped)
-        changed = new.alias("n").join(labels.alias("o"), "node").where(F.col("n.label") != F.col("o.label"))
-        if changed.isEmpty():
-            return new
-        labels = new
+        labels = scratch.keep(jumped, around)
+        before, state = state, _state(labels)
+        if state == before:
+            scratch.drop(both)
+            return labels
 
 
-def _groups(rows: DataFrame) -> DataFrame:
-    """From rows (parent, bucket, member): (grp, hub, member), members without their hub.
+def _state(labels: DataFrame) -> tuple:
+    """Labels only fall, so an equal count and checksum tell that none did."""
+    row = labels.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node", "label")).alias("x")).first()
+    return row["n"], row["x"]
 
-    Buckets of one parent that have the same hub make one group, so a document stands in it
-    once, however many buckets it shares with the hub.
-    """
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    met = stored(rows.join(sizes, "bucket"))
-    degrees = met.groupBy("parent", "member").agg(F.sum("n").alias("degree"))
-    ranked = met.join(degrees, ["parent", "member"]).select("bucket", "member", "degree")
-    hubs = ranked.groupBy("bucket").agg(F.max(F.struct("degree", "member"))["member"].alias("hub"))
-    grouped = met.join(hubs, "bucket").where(F.col("member") != F.col("hub")).select("parent", "hub", "member").distinct()
-    return stored(grouped.select(F.xxhash64("parent", "hub").alias("grp"), "hub", "member"))
 
+def _groups(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """From rows (bucket, member): (grp, hub, member), members without their hub.
 
-def _spanning(rows: DataFrame, key: str) -> DataFrame:
-    """Those rows whose key has members in two components or more."""
-    spans = rows.groupBy(key).agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return rows.join(spans.where(F.col("low") != F.col("high")).select(key), key)
+    Buckets with the same members count once.  Buckets that have the same hub make one group, so a
+    document stands in it once, however many buckets it shares with the hub.
+    """
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("member")).alias("who")).where("n > 1")
+    sizes = sizes.groupBy("n", "who").agg(F.min("bucket").alias("bucket"), F.count("*").alias("times"))
+    met = scratch.keep(rows.join(sizes.select("bucket", (F.col("n") * F.col("times")).alias("n")), "bucket"))
+    degrees = met.groupBy("member").agg(F.sum("n").alias("degree"))
+    ranked = met.join(degrees, "member").select("bucket", "member", "degree")
+    hubs = ranked.groupBy("bucket").agg(F.max(F.struct("degree", "member"))["member"].alias("hub"))
+    grouped = met.join(hubs, "bucket").where(F.col("member") != F.col("hub")).select("hub", "member").distinct()
+    return scratch.keep(grouped.select(F.xxhash64("hub").alias("grp"), "hub", "member"), met)
 
 
 def near_duplicates(
@@ -312,35 +388,30 @@ def near_duplicates(
     all rows of a component have, those without an id, too; rows without shingles have one together
     if they are alike in id and text.  An empty table gives no row.
     """
-    rows = stored(signed(docs, doc_id, text))
-    classes = stored(
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.keep(signed(docs, doc_id, text))
+    classes = scratch.keep(
         rows.where("size > 0")
         .groupBy("class")
         .agg(F.min(F.struct("id", "key")).alias("one"), F.min("id").alias("first_id"), F.first("bands").alias("bands"), F.max("size").alias("size"))
         .select("class", "one.id", "one.key", "first_id", "bands", "size")
     )
-    banded = classes.select(
-        F.lit(0).cast("long").alias("parent"), F.explode("bands").alias("bucket"), F.col("class").alias("member")
-    )
-    groups = _groups(banded)
-    links = None
-    while not groups.isEmpty():
-        results = stored(compared(docs, groups, classes, doc_id, text, percent))
-        found = results.where(F.col("b").isNotNull()).select("a", "b")
-        links = found if links is None else links.unionByName(found)
+    groups = _groups(classes.select(F.explode("bands").alias("bucket"), F.col("class").alias("member")), scratch)
+    labels = None
+    if not groups.isEmpty():
+        wanted = groups.select(F.col("member").alias("class")).unionByName(groups.select(F.col("hub").alias("class")))
+        texts = scratch.keep(fetched(docs, classes, wanted, doc_id, text))
+        results = scratch.keep(compared(texts, _first_tasks(groups, classes), percent))
+        links = results.where(F.col("b").isNotNull()).select("a", "b")
+        labels = components(links, scratch)
         open_ = results.where(F.col("b").isNull()).select("grp", "a", "prefix")
-        if open_.isEmpty():
-            break
-        labels = components(links)
-        named = open_.join(labels, open_["a"] == labels["node"], "left").select(
-            "grp", F.col("a").alias("member"), F.coalesce("label", "a").alias("label"), "prefix"
-        )
-        shared = _spanning(named, "grp").select(
-            F.col("grp").alias("parent"), "member", "label", F.explode("prefix").alias("element")
-        )
-        shared = shared.select("parent", F.xxhash64("parent", "element").alias("bucket"), "member", "label")
-        groups = _groups(_spanning(stored(shared), "bucket").select("parent", "bucket", "member"))
-    labels = None if links is None else components(links)
+        if not open_.isEmpty():
+            again = scratch.keep(compared(texts, _last_tasks(open_, groups, classes, labels, scratch), percent))
+            if not again.isEmpty():
+                # What the first round joined is a star around each label by now.
+                stars = labels.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+                labels = components(stars.unionByName(again.select("a", "b")), scratch)
+        scratch.drop(texts, groups)
     named = classes.select("class", "first_id")
     if labels is not None:
         joined = named.join(labels, named["class"] == labels["node"], "left")
