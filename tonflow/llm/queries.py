@@ -162,7 +162,7 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 # ----------------------------------------------------------- op6: suffix-array dedup
 def op6_suffix_arrays(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return suffix_dedup.remove_repeats(docs).select(
+    return suffix_dedup.remove_repeats(docs, decoded=False).select(
         "doc_id", "repeats.n_bytes", "repeats.n_removed", "repeats.n_spans", F.sha2("repeats.kept", 256).alias("kept_sha256")
     )
 
@@ -303,7 +303,8 @@ WITH RECURSIVE g AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce
 f AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
   CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS x,
   unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS time FROM g WHERE fault <> 0),
-o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, x) AS i, regexp_replace(x, '[ 	-]', '', 'g') AS core FROM f),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, x) AS i, regexp_replace(x, '[ 	-
+]', '', 'g') AS core FROM f),
 p AS (SELECT *, core = '' AS blank, core <> '' AND row_number() OVER (PARTITION BY conv_id, role, x ORDER BY i) > 1 AS dup, left(role, 1) AS ini,
   lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
 t AS MATERIALIZED (SELECT conv_id, turn, i, x, ini, before, blank, dup, blank OR dup AS gone, role || ':' || x AS line,

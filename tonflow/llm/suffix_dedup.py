@@ -284,9 +284,10 @@ def _search_shard(rows: pa.Table, length: int) -> pa.Table:
     times = np.minimum(np.array(rows["times"].to_pylist(), np.int64), 2)
     text = np.frombuffer(b"".join(bodies), np.uint8)
     begin = np.r_[0, np.cumsum([len(b) for b in bodies])[:-1]]
-    owner = np.repeat(np.arange(len(bodies)), windows)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    at = begin[owner] + place
+    # A shard has far fewer than 2**31 bytes.
+    owner = np.repeat(np.arange(len(bodies), dtype=np.int32), windows)
+    place = np.arange(len(owner), dtype=np.int32) - np.repeat((np.cumsum(windows) - windows).astype(np.int32), windows)
+    at = begin.astype(np.int32)[owner] + place
     classes = equal_windows(text, length)[at]
     found = np.bincount(classes, weights=times[owner], minlength=1)
     # of a context that stands twice all windows are repeated, which needs no search
@@ -396,11 +397,13 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return same.unionByName(differing).groupBy("hash", "bytes").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 200) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 200, decoded: bool = True
+) -> DataFrame:
     """Add ``repeats``, a struct: kept (binary), text, n_bytes, n_removed, n_spans.
 
     ``kept`` are the UTF-8 bytes that remain, joined; a cut may go through a character, of
-    which ``text``, the same as text, drops what is left.  A
+    which ``text``, the same as text, drops what is left (null unless ``decoded``).  A
     null text counts as empty and stays nothing; a repeated row's text, if it has ``length``
     bytes, is removed from all of its rows.  All columns stay, whatever their names; an empty
     table gives no rows.
@@ -410,15 +413,27 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     joined = rows.join(
         spans, (F.col("__hash") == F.col("hash")) & (F.col("__bytes") == F.col("bytes")), "left"
     )
-    result = F.arrow_udf(_cut, "kept binary, text string, n_removed bigint, n_spans bigint")("__body", "spans")
+    def cut(bodies: pa.Array, spans: pa.Array) -> pa.Array:
+        return _cut(bodies, spans, decoded)
+
+    result = F.arrow_udf(cut, "kept binary, text string, n_removed bigint, n_spans bigint")("__body", "spans")
     return joined.select("__row.*", result.alias("__cut"), F.col("__bytes").cast("long").alias("__n")).select(
         *[f"`{c}`" for c in docs.columns if c != "repeats"],
         F.struct("__cut.kept", "__cut.text", F.col("__n").alias("n_bytes"), "__cut.n_removed", "__cut.n_spans").alias("repeats"),
     )
 
 
-def _cut(bodies: pa.Array, spans: pa.Array) -> pa.Array:
-    """What remains of each body without its spans, bytes removed and removed runs."""
+#: Bodies that are held as Python objects at once.
+_CUT_ROWS = 256
+
+
+def _cut(bodies: pa.Array, spans: pa.Array, decoded: bool) -> pa.Array:
+    """What remains of each body without its spans (as text, too, if asked for), bytes removed and removed runs."""
+    done = [_cut_some(bodies.slice(at, _CUT_ROWS), spans.slice(at, _CUT_ROWS), decoded) for at in range(0, max(len(bodies), 1), _CUT_ROWS)]
+    return pa.concat_arrays(done)
+
+
+def _cut_some(bodies: pa.Array, spans: pa.Array, decoded: bool) -> pa.Array:
     kept, removed, runs = [], [], []
     for body, own in zip(bodies.to_pylist(), spans.to_pylist(), strict=True):
         left, at, gone, n = [], 0, 0, 0
@@ -431,8 +446,8 @@ def _cut(bodies: pa.Array, spans: pa.Array) -> pa.Array:
         kept.append(b"".join([*left, body[at:]]))
         removed.append(gone)
         runs.append(n)
+    whole = pa.array(kept, pa.binary())
+    text = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if decoded else pa.nulls(len(kept), pa.string())
     return pa.StructArray.from_arrays(
-        [pa.array(kept, pa.binary()), pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()),
-         pa.array(removed, pa.int64()), pa.array(runs, pa.int64())],
-        ["kept", "text", "n_removed", "n_spans"],
+        [whole, text, pa.array(removed, pa.int64()), pa.array(runs, pa.int64())], ["kept", "text", "n_removed", "n_spans"]
     )
