@@ -37,6 +37,8 @@ HEADLINE = [
     "pair_similarity",
     "table_overlap",
     "kpi_snapshot",
+    "price_quantiles",
+    "stream_spacing",
 ]
 
 
