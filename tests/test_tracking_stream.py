@@ -3,7 +3,7 @@
 from datetime import datetime, timedelta
 
 from tonflow.plans import speed, tracking
-from tonflow.streaming import event_time, file_stream, spacing_stream, speed_stream, to_files
+from tonflow.streaming import StreamLog, event_time, file_stream, spacing_stream, speed_stream, to_files, watched
 
 T0 = datetime(2026, 7, 1, 8, 0, 0)
 POSITION = (
@@ -101,3 +101,30 @@ def test_stateless_stream_equals_batch(spark, tmp_path):
 def test_times_without_zone_can_be_watermarked(spark):
     df = spark.sql("SELECT TIMESTAMP_NTZ '2026-01-01 00:00:00' AS t")
     assert dict(event_time(df, "t").dtypes)["t"] == "timestamp"
+
+
+def test_map_documents_keep_their_bound(spark):
+    """Half of the features stand at one place, the others apart."""
+    rows = [(i, "f" * 90, 115.0 if i % 2 else i * 0.01, -3.5 if i % 2 else 10.0) for i in range(400)]
+    features = spark.createDataFrame(rows, "id long, feature string, lon double, lat double")
+    got = tracking.map_documents(features, "lon", "lat", max_bytes=1000).collect()
+    assert sum(r["features"] for r in got) == 400
+    assert all(r["features"] * 91 <= 1000 + 91 for r in got) and max(r["document"] for r in got) > 10
+    ends = len('{"type":"FeatureCollection","features":[]}')
+    assert all(len(r["collection"]) == ends + r["features"] * 91 - 1 for r in got)
+    assert tracking.map_documents(features.limit(0), "lon", "lat").count() == 0
+
+
+def test_stream_log_counts_missed_expectations(spark, tmp_path):
+    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    spark.range(10).repartition(1).write.parquet(folder)
+    log = StreamLog(spark, str(tmp_path / "log"))
+    assert log.expectations().count() == 0 and log.late().count() == 0
+    spark.streams.addListener(log)
+    try:
+        rows = watched(file_stream(spark, folder, "id long"), "ids", {"small": "id < 7", "even": "id % 2 = 0"})
+        log.run(to_files(rows, out, state))
+    finally:
+        spark.streams.removeListener(log)
+    assert {(r["expectation"], r["rows"], r["missed"]) for r in log.expectations().collect()} == {("ids.small", 10, 3), ("ids.even", 10, 5)}
+    assert spark.read.parquet(out).count() == 10
