@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import struct
 from collections.abc import Iterator
 
 import ahocorasick
@@ -27,19 +28,30 @@ from tonflow.llm.common import code_on_workers, pieces
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 _NEVER = 1 << 60
+#: Tokens decoded at once.
+_TOKENS = 1 << 16
 
 
 class _Cache(dict):
-    """Packed ids by piece; long pieces and those beyond ``most`` are computed anew."""
+    """Packed ids by piece, in two generations of ``most`` pieces each.
 
-    def __init__(self, coder: BytePairs, most: int = 100_000, longest: int = 64):
+    A full generation becomes the old one, and the one before it is forgotten; what is met again
+    in the old one moves on, so frequent pieces stay.  Long pieces are computed anew.
+    """
+
+    def __init__(self, coder: BytePairs, most: int = 200_000, longest: int = 64):
         super().__init__()
         self.coder, self.most, self.longest = coder, most, longest
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        packed = np.array(self.coder.encode_piece(piece.encode()), dtype="<u4").tobytes()
+        packed = self.old.get(piece)
+        if packed is None:
+            ids = self.coder.encode_piece(piece.encode())
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= self.longest:
             if len(self) >= self.most:
+                self.old = dict(self)
                 self.clear()
             self[piece] = packed
         return packed
@@ -53,6 +65,9 @@ class BytePairs:
         self.bytes_of = [b""] * (max(ranks.values()) + 1)
         for token, i in ranks.items():
             self.bytes_of[i] = token
+        self.all_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.lengths = np.array([len(x) for x in self.bytes_of], np.int64)
+        self.begins = np.cumsum(self.lengths) - self.lengths
         self.halves: dict[int, tuple[int, int]] = {}
         self.joined: dict[tuple[int, int], int] = {}
         self.follows: dict[tuple[int, int], bool] = {}
@@ -148,7 +163,15 @@ class BytePairs:
         return b"".join(map(self.cache.__getitem__, self.cut.findall(text)))
 
     def decode(self, packed: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(packed, dtype="<u4").tolist()))
+        """The bytes of all tokens, a block of tokens at a time."""
+        ids, out = np.frombuffer(packed, dtype="<u4"), []
+        for at in range(0, len(ids), _TOKENS):
+            some = ids[at : at + _TOKENS]
+            lengths = self.lengths[some]
+            # the n-th byte of the output lies so far behind or before the n-th byte of the table
+            shift = self.begins[some] - (np.cumsum(lengths) - lengths)
+            out.append(self.all_bytes[np.repeat(shift, lengths) + np.arange(lengths.sum())].tobytes())
+        return b"".join(out)
 
 
 @functools.lru_cache(maxsize=2)
