@@ -35,23 +35,35 @@ def unigram_scores(ranks: dict[bytes, int]) -> dict[bytes, float]:
 class TokenTrie(dict):
     """Token counts by pre-token (a dict that fills itself); ``nodes`` bounds its memory.
 
-    Of equally good segmentations the one with fewer tokens counts.
+    Of equally good segmentations the one with fewer tokens counts.  A full trie is begun
+    anew; the counts at its ends are kept in two generations of ``most`` pre-tokens each, so that
+    frequent ones are not walked again.
     """
 
-    def __init__(self, scores: dict[bytes, float], nodes: int = 400_000):
+    def __init__(self, scores: dict[bytes, float], nodes: int = 400_000, most: int = 200_000, letters: int = 64):
         super().__init__()
-        self.scores, self.nodes = scores, nodes
+        self.scores, self.nodes, self.most, self.letters = scores, nodes, most, letters
         self.longest = max(map(len, scores))
         self.computed = 0
+        self.old: dict[str, int] = {}
         self._empty()
 
     def _empty(self) -> None:
-        self.clear()
         self.children: dict[int, int] = {}
         self.best: list[tuple[float, int]] = [(0.0, 0)]  # score and minus the number of tokens
 
     def __missing__(self, word: str) -> int:
-        text = word.encode()
+        count = self.old.get(word)
+        if count is None:
+            count = self._walk(word.encode())
+        if len(word) <= self.letters:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[word] = count
+        return count
+
+    def _walk(self, text: bytes) -> int:
         if len(self.best) + len(text) > self.nodes:
             self._empty()
         path, children, best, scores = [0], self.children, self.best, self.scores
@@ -69,10 +81,7 @@ class TokenTrie(dict):
                         found = max(found, (before + score, count - 1))
                 best.append(found)
             path.append(node)
-        count = -best[path[-1]][1]
-        if len(text) < self.nodes:
-            self[word] = count
-        return count
+        return -best[path[-1]][1]
 
 
 @functools.lru_cache(maxsize=2)
