@@ -36,13 +36,13 @@ class TokenTrie(dict):
     """Token counts by pre-token (a dict that fills itself); ``nodes`` bounds its memory.
 
     Of equally good segmentations the one with fewer tokens counts.  A full trie is begun
-    anew; the counts at its ends are kept in two generations of ``most`` pre-tokens each, so that
-    frequent ones are not walked again.
+    anew; the counts at its ends are kept in two generations of half as many pre-tokens each, so
+    that frequent ones are not walked again.
     """
 
-    def __init__(self, scores: dict[bytes, float], nodes: int = 400_000, most: int = 200_000, letters: int = 64):
+    def __init__(self, scores: dict[bytes, float], nodes: int = 400_000, letters: int = 64):
         super().__init__()
-        self.scores, self.nodes, self.most, self.letters = scores, nodes, most, letters
+        self.scores, self.nodes, self.most, self.letters = scores, nodes, nodes // 2, letters
         self.longest = max(map(len, scores))
         self.computed = 0
         self.old: dict[str, int] = {}
