@@ -31,7 +31,7 @@ def test_bounded_model_and_cache(spark):
     assert small.predict(text) == whole.predict(text) == small.predict(text)
 
 
-def test_what_workers_hold_changes_no_score(spark, edges):
+def test_what_workers_hold_changes_no_score(spark, edges, monkeypatch):
     """Rare words of the model, unseen ones, and ones of which no n-gram is known."""
     own = [(i, " ".join(w.split()[i % 5 :: 2]) + f" q{'uvwxyz'[i % 6] * 3} wassern maisons 漢字", x) for i, (x, w) in enumerate(WORDS.items())]
     docs = corpus(spark).unionByName(spark.createDataFrame(own, "doc_id long, text string, lang string")).unionByName(
@@ -43,6 +43,21 @@ def test_what_workers_hold_changes_no_score(spark, edges):
     assert whole.words is None and small.words is not None
     want, got = (sorted(map(str, language.identify(asked, m).collect())) for m in (whole, small))
     assert got == want
+    for size in (1, 300):  # texts that are looked up together
+        monkeypatch.setattr(language, "LOOKED_UP", size)
+        assert sorted(map(str, language.identify(asked, small).collect())) == want
+    assert language.identify(asked.limit(0), small).count() == 0
+
+
+def test_words_are_judged_as_they_are_learnt(spark):
+    """Fractions, numerals and marks end a word on both sides."""
+    texts = ["x½y ⅷ chapter", "a1b_c d²e", "İstanbul ΣΑΣ", "e\u0301a naïve", "½", "漢字 ǅ ªº"]
+    learnt = spark.createDataFrame([(x, "xx") for x in texts], "text string, lang string")
+    model = language.learn(learnt)
+    scorer = language._Scorer(model)
+    known = {x for x in model.entries if ":" not in x}
+    assert {w for x in texts for w in scorer.words(x)} == known
+    assert scorer.words("x½y") == ["x", "y"] and scorer.words("½") == []
 
 
 def test_long_words_count_whole(spark):

@@ -12,23 +12,27 @@ Logarithms are whole multiples of ``1 / STEP``, so sums are exact in any order.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
+import regex
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonflow.llm.common import code_on_workers, pieces, stored
 
 UNKNOWN = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Runs of letters, and of signs like fractions; words with such a sign are cut again.
+_RUNS, _LETTERS = re.compile(r"[^\W\d_]+"), regex.compile(r"\p{L}+")
 STEP = float(1 << 19)
 #: Places of a word whose n-grams are made at once.
 BLOCK = 1000
+#: Bytes of text whose words are looked up together where workers don't hold them.
+LOOKED_UP = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -177,23 +181,36 @@ class _Scorer(dict):
         return total
 
     def words(self, text: str | None) -> list[str]:
-        """The words of a text to be judged; none where it is ``und``."""
-        words = _LETTERS.findall(text.lower()) if text else []
-        return words if self.model.languages and any(c.isalpha() for w in words for c in w) else []
+        """The words of a text, as they are learnt; none where it is to be ``und``."""
+        if not text or not self.model.languages:
+            return []
+        words = _RUNS.findall(text.lower())
+        if not "".join(words).isalpha():
+            words = [x for w in words for x in ([w] if w.isalpha() else _LETTERS.findall(w))]
+        return words
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = self.words(text)
         return _verdict(self.model.languages, self.sums(words) if words else None, len(words))
 
-    def held(self, words: list[str]) -> tuple[np.ndarray, list[tuple[str, int]]]:
-        """The sums over the words that the model holds, and how often each other word occurs."""
-        total, others = np.zeros(len(self.model.languages)), Counter()
+    def held(self, words: list[str], places: _Places) -> tuple[np.ndarray, np.ndarray]:
+        """The sums over the words that the model holds, and the places of all others, sorted."""
+        total, others = np.zeros(len(self.model.languages)), [np.zeros(0, np.int32)]
         for at in range(0, len(words), self.room):
             some = words[at : at + self.room]
             rows = np.fromiter(map(self.get, some, repeat(-1)), np.int64, len(some))
             total += self.table[rows[rows >= 0]].sum(axis=0, dtype=np.float64)
-            others.update(some[i] for i in np.flatnonzero(rows < 0).tolist())
-        return total, list(others.items())
+            unheld = np.flatnonzero(rows < 0).tolist()
+            others.append(np.fromiter((places[some[i]] for i in unheld), np.int32, len(unheld)))
+        return total, np.sort(np.concatenate(others))
+
+
+class _Places(dict):
+    """Numbers words in the order in which they are met."""
+
+    def __missing__(self, word: str) -> int:
+        place = self[word] = len(self)
+        return place
 
 
 def _verdict(languages: list[str], total: np.ndarray | None, n_words: int) -> tuple[str, float]:
@@ -252,36 +269,62 @@ def identify(
     if model.words is None:
         return texts.mapInArrow(judge, schema)
 
+    own = len(carry)
+
     def sum_held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = None
+        scorer, places, size = None, _Places(), 0
+        block = TaskContext.get().partitionId() << 32
         for batch in pieces(batches, "__text"):
             scorer = scorer or _Scorer(shared.value)
-            words = [scorer.words(x) for x in batch.column(len(carry)).to_pylist()]
-            held = [scorer.held(w) for w in words]
-            columns = [batch.column(i) for i in range(len(carry))]
+            if size >= LOOKED_UP:
+                places, size, block = _Places(), 0, block + 1
+            base = len(places)
+            words = [scorer.words(x) for x in batch.column(own).to_pylist()]
+            held = [scorer.held(w, places) for w in words]
+            size += pa.compute.sum(pa.compute.binary_length(batch.column(own))).as_py() or 0
+            lengths = [0, *(len(x[1]) for x in held)]
+            others = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), np.concatenate([x[1] for x in held]))
+            n = batch.num_rows
+            columns = [batch.column(i) for i in range(own)]
             columns += [
                 pa.array([len(w) for w in words], pa.int64()),
                 pa.array([x[0] for x in held], pa.list_(pa.float64())),
-                pa.array([x[1] for x in held], pa.map_(pa.string(), pa.int64())),
+                pa.array(np.full(n, block)),
+                others,
+                pa.array(np.full(n, base, np.int32)),
+                pa.array([list(islice(places, base, None)), *[None] * (n - 1)], pa.list_(pa.string())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, [*carry, "__words", "__sums", "__others"])
+            names = ["__words", "__sums", "__block", "__others", "__base", "__met"]
+            yield pa.RecordBatch.from_arrays(columns, [*carry, *names])
 
-    def conclude(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def conclude(rows: pa.Table, answers: pa.Table) -> pa.Table:
         languages = shared.value.languages
-        for batch in batches:
-            sums, counts = (batch.column(len(carry) + i).to_pylist() for i in (1, 0))
-            found = [_verdict(languages, np.array(s), n) for s, n in zip(sums, counts, strict=True)]
-            columns = [batch.column(i) for i in range(len(carry))]
-            columns += [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*carry, "lang_pred", "score"])
-
-    fields = schema.removesuffix("lang_pred string, score double") + "__words bigint, __sums array<double>, __others map<string,bigint>"
-    parts = stored(texts.mapInArrow(sum_held, fields).withColumn("__row", F.monotonically_increasing_id()))
-    others = parts.select("__row", F.explode("__others").alias("word", "n"))
-    each = range(len(model.languages))
-    added = others.join(_looked_up(others, model), "word").groupBy("__row").agg(
-        F.array(*[F.sum(F.col("n") * F.col("logs")[i]) for i in each]).alias("__added")
+        # Words without an answer have no known n-gram and add nothing.
+        lists = rows["__others"].combine_chunks()
+        size = max((pa.compute.max(lists.flatten()).as_py() or 0) + 1, (pa.compute.max(answers["at"]).as_py() or 0) + 1)
+        logs = np.zeros((size, len(languages)))
+        if answers.num_rows:
+            flat = answers["logs"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            logs[answers["at"].to_numpy()] = flat.reshape(-1, len(languages))
+        found = []
+        for n, held, places in zip(rows["__words"].to_pylist(), rows["__sums"].to_pylist(), lists, strict=True):
+            added = logs[places.values.to_numpy(zero_copy_only=False)].sum(axis=0)
+            found.append(_verdict(languages, np.array(held) + added, n))
+        columns = [rows[c] for c in columns_of_carry]
+        columns += [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
+        return pa.table(columns, [*carry, "lang_pred", "score"])
+
+    # Words that workers don't hold are numbered within a block of texts; each block names them once
+    # and gets one table of answers back, so neither grows with how often a block has a word.
+    columns_of_carry = [f"__{i}" for i in range(own)]
+    fields = schema.removesuffix("lang_pred string, score double") + (
+        "__words bigint, __sums array<double>, __block bigint, __others array<int>, __base int, __met array<string>"
+    )
+    parts = stored(texts.mapInArrow(sum_held, fields))
+    met = parts.where(F.size("__met") > 0).select("__block", "__base", F.posexplode("__met").alias("i", "word"))
+    asked = met.select("__block", (F.col("__base") + F.col("i")).alias("at"), "word")
+    answers = asked.join(_looked_up(asked, model), "word").select(F.col("__block").alias("__of"), "at", "logs")
+    rows = parts.select(
+        "__block", *[F.col(c).alias(n) for c, n in zip(carry, columns_of_carry, strict=True)], "__words", "__sums", "__others"
     )
-    sums = F.array(*[F.col("__sums")[i] + F.coalesce(F.col("__added")[i], F.lit(0.0)) for i in each])
-    summed = parts.drop("__others").join(added, "__row", "left").select(*carry, "__words", sums.alias("__sums"))
-    return summed.mapInArrow(conclude, schema)
+    return rows.groupBy("__block").cogroup(answers.groupBy("__of")).applyInArrow(conclude, schema)
