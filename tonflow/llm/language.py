@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonflow.llm.common import code_on_workers, pieces, stored
+from tonflow.sources.session import Scratch
 
 UNKNOWN = "und"
 #: Runs of letters, and of signs like fractions; words with such a sign are cut again.
@@ -65,12 +66,14 @@ def learn(
         F.col(language).alias("language"),
         F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"\p{L}+"), F.lit(0))).alias("entry"),
     )
-    counted = stored(words.groupBy("language", "entry").agg(F.count("*").alias("n")))
+    scratch = Scratch(labelled.sparkSession)
+    counted = scratch.keep(words.groupBy("language", "entry").agg(F.count("*").alias("n")))
     spread = _spread(counted, "entry", longest, "language", "n")
     gram_counts = spread.groupBy("language", "gram").agg(F.sum("n").alias("n")).withColumnRenamed("gram", "entry")
     languages = sorted(r[0] for r in counted.select("language").distinct().collect())
     all_words = _with_logs(counted, languages, F.lit(0))
     all_grams = _with_logs(gram_counts, languages, _size("entry"))
+    scratch.drop(counted)
     words_kept, word_logs, words_whole = _frequent(all_words, len(languages), most_words)
     grams_kept, gram_logs, grams_whole = _frequent(all_grams, len(languages), most_grams)
     entries = {e: i for i, e in enumerate(words_kept + grams_kept)}
@@ -223,11 +226,9 @@ def _verdict(languages: list[str], total: np.ndarray | None, n_words: int) -> tu
     return languages[best], float(odds[best] / odds.sum())
 
 
-def _looked_up(asked: DataFrame, model: LanguageModel, discount: float = 0.4) -> DataFrame:
-    """(word, logs) of the distinct words of ``asked``; a word without any known n-gram has no row."""
-    known = model.words.select(F.col("entry").alias("word"), "logs")
-    found = stored(asked.select("word").distinct().join(known, "word", "left"))
-    spread = _spread(found.where(F.col("logs").isNull()).select("word"), "word", model.longest, "word")
+def _backed_off(unseen: DataFrame, model: LanguageModel, discount: float = 0.4) -> DataFrame:
+    """(word, logs) of words that are not in the model; one without any known n-gram has no row."""
+    spread = _spread(unseen.select("word").distinct(), "word", model.longest, "word")
     met = spread.join(model.grams.select(F.col("entry").alias("gram"), "logs"), "gram")
     each = range(len(model.languages))
     sums = [F.sum(F.col("logs")[i].cast("double")) for i in each]
@@ -236,9 +237,18 @@ def _looked_up(asked: DataFrame, model: LanguageModel, discount: float = 0.4) ->
     weights = F.array(*[F.lit(discount ** (model.longest - k)) for k in range(1, model.longest + 1)])
     weight = F.element_at(weights, F.col("m.size"))
     backed = F.array(*[F.rint(weight * (F.col("m.sums")[i] / F.col("m.n")) * STEP) / STEP for i in each])
-    return found.where(F.col("logs").isNotNull()).select("word", F.col("logs").cast("array<double>").alias("logs")).unionByName(
-        longest.select("word", backed.alias("logs"))
+    return longest.select("word", backed.cast("array<float>").alias("logs"))
+
+
+def _answers(asked: DataFrame, model: LanguageModel) -> DataFrame:
+    """(block, at, logs) for the words of each block: from the table of words, else from n-grams."""
+    known = model.words.select(F.col("entry").alias("word"), "logs")
+    met = stored(
+        asked.join(known, "word", "left").select("block", "at", F.when(F.col("logs").isNull(), F.col("word")).alias("word"), "logs")
     )
+    unseen = met.where(F.col("logs").isNull()).select("block", "at", "word")
+    backed = unseen.join(_backed_off(unseen, model), "word").select("block", "at", "logs")
+    return met.where(F.col("logs").isNotNull()).select("block", "at", "logs").unionByName(backed)
 
 
 def identify(
@@ -322,9 +332,9 @@ def identify(
     )
     parts = stored(texts.mapInArrow(sum_held, fields))
     met = parts.where(F.size("__met") > 0).select("__block", "__base", F.posexplode("__met").alias("i", "word"))
-    asked = met.select("__block", (F.col("__base") + F.col("i")).alias("at"), "word")
-    answers = asked.join(_looked_up(asked, model), "word").select(F.col("__block").alias("__of"), "at", "logs")
+    asked = met.select(F.col("__block").alias("block"), (F.col("__base") + F.col("i")).alias("at"), "word")
+    answers = _answers(asked, model)
     rows = parts.select(
         "__block", *[F.col(c).alias(n) for c, n in zip(carry, columns_of_carry, strict=True)], "__words", "__sums", "__others"
     )
-    return rows.groupBy("__block").cogroup(answers.groupBy("__of")).applyInArrow(conclude, schema)
+    return rows.groupBy("__block").cogroup(answers.groupBy("block")).applyInArrow(conclude, schema)
