@@ -80,7 +80,8 @@ def mix(
     """Every document with its place in the mix.
 
     Returns the columns of ``carry`` and a struct ``mix``: size, source_size, target,
-    taken (words, repeats counted) and placements, an array of (pass, words, position).  The last
+    taken (words, repeats counted), placements, an array of (pass, words, position), and ``tie``, which
+orders documents of the same position (source, then md5 of id and of text).  The last
     document of a source is begun and not finished, so a source's taken words are its target
     rounded down.  A document of a size of nothing takes no place.  A null text has size 0;
     null sources form one source; ties in hash order are broken by id and text, and rows
@@ -131,6 +132,7 @@ def mix(
             "size", "source_size", "target",
             F.aggregate("placements", F.lit(0).cast("long"), lambda a, p: a + p["words"]).alias("taken"),
             "placements",
+            F.struct("source", "key", "text_key").alias("tie"),
         ).alias("mix"),
     )
 
@@ -142,7 +144,9 @@ def training_order(mixed: DataFrame) -> DataFrame:
     only begins is handed over whole.
     """
     columns = [c for c in mixed.columns if c != "mix"]
-    placed = mixed.select(*columns, F.explode("mix.placements").alias("placement")).select(
-        *columns, F.col("placement.position").alias("position")
+    placed = mixed.select(
+        F.struct(*columns).alias("row"), F.col("mix.tie").alias("tie"), F.explode("mix.placements").alias("placement")
     )
-    return placed.repartitionByRange("position").sortWithinPartitions("position")
+    order = ["placement.position", "tie.source", "tie.key", "tie.text_key", "placement.pass"]
+    ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ordered.select("row.*", F.col("placement.position").alias("position"))
