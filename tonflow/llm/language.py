@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 from itertools import islice, repeat
 
 import numpy as np
@@ -24,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonflow.llm.common import code_on_workers, pieces, stored
-from tonflow.sources.session import Scratch
 
 UNKNOWN = "und"
 #: Runs of letters, and of signs like fractions; words with such a sign are cut again.
@@ -66,14 +66,16 @@ def learn(
         F.col(language).alias("language"),
         F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"\p{L}+"), F.lit(0))).alias("entry"),
     )
-    scratch = Scratch(labelled.sparkSession)
-    counted = scratch.keep(words.groupBy("language", "entry").agg(F.count("*").alias("n")))
-    spread = _spread(counted, "entry", longest, "language", "n")
-    gram_counts = spread.groupBy("language", "gram").agg(F.sum("n").alias("n")).withColumnRenamed("gram", "entry")
-    languages = sorted(r[0] for r in counted.select("language").distinct().collect())
-    all_words = _with_logs(counted, languages, F.lit(0))
-    all_grams = _with_logs(gram_counts, languages, _size("entry"))
-    scratch.drop(counted)
+    # A language counts if any of its texts has a word; one counter per language then needs one shuffle.
+    spoken = labelled.where(F.col(language).isNotNull() & F.col(text).rlike(r"\p{L}"))
+    languages = sorted(r[0] for r in spoken.select(language).distinct().collect())
+    counters = [f"n{i}" for i in range(len(languages))]
+    met = [F.count(F.when(F.col("language") == x, 1)).alias(c) for c, x in zip(counters, languages, strict=True)]
+    word_counts = _counted(words, met)
+    spread = _spread(word_counts, "entry", longest, *counters).withColumnRenamed("gram", "entry")
+    gram_counts = _counted(spread, [F.sum(c).alias(c) for c in counters])
+    all_words = _with_logs(word_counts, counters, F.lit(0))
+    all_grams = _with_logs(gram_counts, counters, _size("entry"))
     words_kept, word_logs, words_whole = _frequent(all_words, len(languages), most_words)
     grams_kept, gram_logs, grams_whole = _frequent(all_grams, len(languages), most_grams)
     entries = {e: i for i, e in enumerate(words_kept + grams_kept)}
@@ -85,10 +87,16 @@ def _size(entry: str) -> Column:
     return F.substring_index(F.col(entry), ":", 1).cast("int")
 
 
-def _spread(rows: DataFrame, word: str, longest: int, *carry: str) -> DataFrame:
+def _counted(rows: DataFrame, counts: list[Column]) -> DataFrame:
+    """A stored row per entry with its counts; without languages there is no row to count."""
+    return stored(rows.groupBy("entry").agg(*counts or [F.count("*").alias("n")]))
+
+
+def _spread(rows: DataFrame, word: str, longest: int, *carry: str, shortest: int = 1) -> DataFrame:
     """A row ``gram`` for each n-gram at each place of a word; the columns of ``carry`` go along.
 
     Long words are cut into blocks of places, each with the letters that its last n-grams need.
+    A block too short for any n-gram has a row without one.
     """
     whole = F.concat(F.lit("^"), F.col(word), F.lit("$"))
     cut = F.regexp_extract_all(whole, F.lit(f"(?s)(?=(.{{1,{BLOCK + longest - 1}}})).{{1,{BLOCK}}}"), F.lit(1))
@@ -100,24 +108,22 @@ def _spread(rows: DataFrame, word: str, longest: int, *carry: str) -> DataFrame:
         cut = F.transform(starts, lambda i: F.concat(F.lit(f"{size}:"), F.substring(marked, i, F.lit(size))))
         return F.when(F.length(marked) >= size, cut).otherwise(F.array().cast("array<string>"))
 
-    return blocks.select(*carry, F.explode(F.flatten(F.array(*[grams(k) for k in range(1, longest + 1)]))).alias("gram"))
+    return blocks.select(*carry, F.explode_outer(F.flatten(F.array(*[grams(k) for k in range(shortest, longest + 1)]))).alias("gram"))
 
 
-def _with_logs(counts: DataFrame, languages: list[str], kind: Column) -> DataFrame:
+def _with_logs(counts: DataFrame, counters: list[str], kind: Column) -> DataFrame:
     """(entry, total, logs): per language the smoothed log frequency among entries of its kind."""
-    each = range(len(languages))
-    by = [F.sum(F.when(F.col("language") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(languages)]
-    entries = stored(counts.groupBy("entry").agg(F.sum("n").alias("total"), *by))
-    sums = [F.sum(f"n{i}").alias(f"n{i}") for i in each]
-    kinds = {r["kind"]: r for r in entries.groupBy(kind.alias("kind")).agg(F.count("*").alias("rows"), *sums).collect()}
+    sums = [F.sum(c).alias(c) for c in counters]
+    kinds = {r["kind"]: r for r in counts.groupBy(kind.alias("kind")).agg(F.count("*").alias("rows"), *sums).collect()}
     rows = sum(r["rows"] for r in kinds.values())
 
     def log(i: int) -> Column:
         whole = F.create_map(*[F.lit(x) for k, r in kinds.items() for x in (k, r[f"n{i}"] + 0.1 * rows)])
         return F.rint(F.log((F.col(f"n{i}") + 0.1) / whole[kind]) * STEP) / STEP
 
-    logs = F.array(*[log(i) for i in each] if kinds else []).cast("array<float>")
-    return entries.select("entry", "total", logs.alias("logs"))
+    logs = F.array(*[log(i) for i in range(len(counters))] if kinds else []).cast("array<float>")
+    total = sum((F.col(c) for c in counters), F.lit(0).cast("long"))
+    return counts.select("entry", total.alias("total"), logs.alias("logs"))
 
 
 def _frequent(entries: DataFrame, width: int, most: int) -> tuple[list[str], np.ndarray, bool]:
@@ -227,17 +233,21 @@ def _verdict(languages: list[str], total: np.ndarray | None, n_words: int) -> tu
 
 
 def _backed_off(unseen: DataFrame, model: LanguageModel, discount: float = 0.4) -> DataFrame:
-    """(word, logs) of words that are not in the model; one without any known n-gram has no row."""
-    spread = _spread(unseen.select("word").distinct(), "word", model.longest, "word")
-    met = spread.join(model.grams.select(F.col("entry").alias("gram"), "logs"), "gram")
-    each = range(len(model.languages))
-    sums = [F.sum(F.col("logs")[i].cast("double")) for i in each]
-    by_size = met.groupBy("word", _size("gram").alias("size")).agg(F.count("*").alias("n"), F.array(*sums).alias("sums"))
-    longest = by_size.groupBy("word").agg(F.max(F.struct("size", "n", "sums")).alias("m"))
-    weights = F.array(*[F.lit(discount ** (model.longest - k)) for k in range(1, model.longest + 1)])
-    weight = F.element_at(weights, F.col("m.size"))
-    backed = F.array(*[F.rint(weight * (F.col("m.sums")[i] / F.col("m.n")) * STEP) / STEP for i in each])
-    return longest.select("word", backed.cast("array<float>").alias("logs"))
+    """(word, logs) of words that are not in the model; one without any known n-gram has no row.
+
+    The longest n-grams are looked up first, and only words that had none go on to shorter ones.
+    """
+    words, found = unseen.select("word").distinct(), []
+    for size in range(model.longest, 0, -1):
+        grams = model.grams.where(_size("entry") == size).select(F.col("entry").alias("gram"), "logs")
+        met = _spread(words, "word", size, "word", shortest=size).join(grams, "gram", "left")
+        sums = [F.sum(F.col("logs")[i].cast("double")) for i in range(len(model.languages))]
+        judged = stored(met.groupBy("word").agg(F.count("logs").alias("n"), F.array(*sums).alias("sums")))
+        weight = F.lit(discount ** (model.longest - size))
+        backed = [F.rint(weight * (F.col("sums")[i] / F.col("n")) * STEP) / STEP for i in range(len(model.languages))]
+        found.append(judged.where(F.col("n") > 0).select("word", F.array(*backed).cast("array<float>").alias("logs")))
+        words = judged.where(F.col("n") == 0).select("word")
+    return reduce(DataFrame.unionByName, found)
 
 
 def _answers(asked: DataFrame, model: LanguageModel) -> DataFrame:
