@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,7 +9,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonflow.sources.session import checkpoint_ready, cut_lineage
+from tonflow.sources.session import checkpoint_ready, code_on_workers, cut_lineage  # noqa: F401
 
 #: A word is a longest run of characters that are none of these six.
 BLANKS = r"\x20\x09-\x0D"
@@ -46,25 +43,6 @@ def held_out(id_column: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-def code_on_workers(spark: SparkSession) -> None:
-    """Send this package to the workers if their path does not lead to it already."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    paths = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
-    known = any(p and os.path.isdir(p) and os.path.exists(os.path.join(p, "tonflow", "llm")) for p in paths)
-    context = spark.sparkContext
-    if known or getattr(context, "_tonflow_sent", False):
-        return
-    archive = os.path.join(tempfile.mkdtemp(prefix="tonflow-code-"), "tonflow.zip")
-    with zipfile.ZipFile(archive, "w") as out:
-        for folder, _, files in os.walk(os.path.join(root, "tonflow")):
-            for name in files:
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    out.write(path, os.path.relpath(path, root))
-    context.addPyFile(archive)
-    context._tonflow_sent = True
-
-
 def pieces(batches: Iterator[pa.RecordBatch], column: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a piece holds about ``size`` bytes of one text column.
 
