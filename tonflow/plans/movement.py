@@ -165,6 +165,9 @@ def exceptions(movements: DataFrame) -> DataFrame:
         | F.col("is_anomaly_bool")
         | F.col("is_anomaly_queue_lane_bool")
     )
-    return movements.where(suspicious).select(
+    # A filter would move below the parsing and repeat it for every mention; it stays above what depends
+    # on the partition's number.
+    marked = movements.withColumn("_suspicious", F.when(F.spark_partition_id() >= 0, suspicious))
+    return marked.where("_suspicious").select(
         *[column_or_null(movements, c).alias(c) for c in EXCEPTION_COLUMNS]
     )

@@ -245,10 +245,7 @@ DURATIONS = ["queue_duration_minutes", "cp_area_duration_minutes", "cp_process_d
 
 
 def movements(spark, d):
-    # The raw table is stored first, in even files: it stands for a source table, not for a
-    # computation.
-    even = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return movement.movement_silver(cut_lineage(inputs.queue_rows(spark, d).repartition(even)))
+    return movement.movement_silver(inputs.queue_rows(spark, d))
 
 
 @case(
@@ -347,8 +344,7 @@ def vehicle_output_per_plant(spark, d):
        WHERE data_quality_status <> 'valid' OR vehicle_movement_status <> 'IN_OUT_COMPLETED' OR is_anomaly_bool OR is_anomaly_queue_lane_bool""",
 )
 def movement_exceptions(spark, d):
-    # The cleaned table is stored first, as its filters would repeat all the parsing.
-    return movement.exceptions(cut_lineage(movements(spark, d))).select(
+    return movement.exceptions(movements(spark, d)).select(
         "transaction_date", "queue_name", "lane_id_value", "truck_id_value", "nomor_lambung", "status", "assigned_by",
         "vehicle_movement_status", "tonnage_value", "data_quality_status",
     )
