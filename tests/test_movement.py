@@ -40,3 +40,26 @@ def test_exceptions_are_the_rows_that_need_attention(spark, folder):
     shared = ["transaction_date", "queue_name", "lane_id_value", "truck_id_value", "vehicle_movement_status", "tonnage_value", "data_quality_status"]
     rows = lambda got: sorted(str([r[c] for c in shared]) for r in got)
     assert rows(found) == rows(wanted)
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_rows_are_dealt_once_by_the_join(spark, folder, capsys, broadcast):
+    # -1 stands for large tables: there the rows were dealt twice and sorted twice before, and spilled.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        cases.QUERIES["movement_silver"](spark, folder).explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange ") == 2 and "RoundRobin" not in plan and "Sort" not in plan
+
+
+def test_orders_without_a_key_or_read_twice(spark, tmp_path):
+    day = datetime.date(2024, 3, 1)
+    orders = [(1, day, "F", "1-URGENT")] * 2 + [(2, day, "O", "1-URGENT"), (None, day, "F", "1-URGENT")]
+    lines = [(k, i, 1, 1, 1.0, "A", "F") for k in (1, 2, 3, None) for i in (1, 2)]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderdate date, o_orderstatus string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    kinds = "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long, l_quantity double, l_returnflag string, l_linestatus string"
+    spark.createDataFrame(lines, kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = cases.QUERIES["movement_silver"](spark, str(tmp_path)).collect()
+    assert sorted(r["assignment_id_value"] for r in found) == [11, 11, 12, 12, 21, 22]
