@@ -22,6 +22,7 @@ from tonflow.sources import (
     read_csv_text,
     read_with_retry,
     resolve,
+    session_defaults,
     with_columns_of,
 )
 from tonflow.streaming import AppendFlow, flows, run_flows
@@ -58,6 +59,27 @@ def test_upsert_refuses_repeated_source_keys(spark):
         tables.merge_upsert(target(spark), source, ["id"]).collect()
 
 
+def test_upsert_tasks_stay_small(spark):
+    n, changed = 1_200_000, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in changed}
+    digest = F.sha2(F.col("id").cast("string"), 256)
+    big = spark.range(n).select("id", digest.alias("a"), F.reverse(digest).alias("b"))
+    source = spark.range(n - 5, n + 5).select("id", F.lit("x").alias("a"), F.lit("y").alias("b"))
+    session_defaults(spark)
+    try:
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        merged = tables.merge_upsert(big, source, ["id"])
+        whole = [F.count("*").alias("n"), F.max("a"), F.max("b")]  # columns that nobody reads are not shuffled
+        held = [r["n"] for r in merged.groupBy(F.spark_partition_id()).agg(*whole).collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(held) == n + 5
+    # A task was given as much as a core's share or 64 MB of compressed bytes before, here 300,000 rows.
+    assert max(held) < 250_000
+
+
 def test_create_read_update_delete(spark):
     t = target(spark)
     t = tables.insert_rows(t, spark.createDataFrame([(9, "z")], "id long, name string"))

@@ -10,13 +10,15 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 # Correctness needs the first; the others let Spark re-plan, split hot partitions and size
-# broadcasts from measured statistics instead of hints.
+# broadcasts from measured statistics instead of hints.  The last bounds what a task reads of a shuffle:
+# bytes are counted compressed, and rows of little more than a key take some twenty times as much memory.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
 
