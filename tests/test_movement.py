@@ -1,10 +1,14 @@
 """Queue rows from order lines: nothing wide is stored or dealt anew on the way."""
 
 import datetime
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from verification import cases
+from tonflow.plans import movement
+from tonflow.sources import session
+from verification import cases, inputs
 
 
 @pytest.fixture(scope="module")
@@ -63,3 +67,37 @@ def test_orders_without_a_key_or_read_twice(spark, tmp_path):
     spark.createDataFrame(lines, kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
     found = cases.QUERIES["movement_silver"](spark, str(tmp_path)).collect()
     assert sorted(r["assignment_id_value"] for r in found) == [11, 11, 12, 12, 21, 22]
+
+
+@pytest.mark.parametrize("name", ["vehicle_summary_hourly", "vehicle_summary_lane", "vehicle_summary_daily", "vehicle_output_per_plant", "vehicle_kpis"])
+def test_no_sums_are_held_beside_distinct_values(spark, folder, capsys, name):
+    cases.QUERIES[name](spark, folder).explain()
+    # The sums of all other measures were kept with every assignment and every truck before.
+    found = re.findall(r"HashAggregate\(keys=\[[^\]]*assignment_id_value[^\]]*\], functions=\[(.*?)\]\)", capsys.readouterr().out)
+    assert found and set(found) == {""}
+
+
+@pytest.mark.parametrize("keys", [(), ("queue_name",), ("queue_name", "port")])
+@pytest.mark.parametrize("rows", ["all", "none"])
+def test_summaries_equal_one_aggregation(spark, folder, keys, rows):
+    raw = movement.movement_silver(inputs.queue_rows(spark, folder)).where(F.lit(rows == "all"))
+    # Groups without a key, repeated and missing ids.
+    raw = raw.withColumns({"queue_name": F.when(F.col("tonnage_value") < 1040, F.col("queue_name")), "truck_id_value": F.col("truck_id_value") % 3})
+    wanted = raw.groupBy(*keys).agg(*[make().alias(f"n_{m}") for m, make in movement.MEASURES.items()])
+    found = movement.vehicle_summary(raw, keys, names={m: f"n_{m}" for m in movement.MEASURES})
+    assert found.dtypes == wanted.dtypes
+    assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_enough_partitions_to_merge(spark):
+    asked, names = spark.conf.get("spark.sql.shuffle.partitions"), session.FIRST_PARTITIONS
+    try:
+        spark.conf.unset(names)
+        session.session_defaults(spark)
+        assert spark.conf.get(names) == "200"  # few partitions of a large table spilled before
+        spark.conf.set("spark.sql.shuffle.partitions", "600")
+        session.session_defaults(spark)
+        assert spark.conf.get(names) == "600"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", asked)
+        spark.conf.unset(names)

@@ -102,6 +102,8 @@ MEASURES = {
     "total_rows": lambda: F.count(F.lit(1)),
 }
 
+DISTINCT = ("total_transaction", "total_vehicle")
+
 DAILY = ("transaction_date", "queue_name", "port", "truck_type")
 HOURLY = ("transaction_date", "transaction_hour", "queue_name", "port")
 LANE = ("transaction_date", "queue_name", "lane_id_value", "lane_sb")
@@ -113,9 +115,19 @@ def vehicle_summary(
     measures: Sequence[str] = tuple(MEASURES),
     names: dict | None = None,
 ) -> DataFrame:
-    """Chosen measures by chosen keys (none for overall KPIs); ``names`` renames measures."""
+    """Chosen measures by chosen keys (none for overall KPIs); ``names`` renames measures.
+
+    Distinct counts are made apart from the other measures, and both meet as one row per group.
+    In one aggregation Spark keeps the sums of all other measures beside every distinct value.
+    """
     names = names or {}
-    return movements.groupBy(*keys).agg(*[MEASURES[m]().alias(names.get(m, m)) for m in measures])
+    chosen = [MEASURES[m]().alias(names.get(m, m)) for m in measures]
+    parts = [[c for m, c in zip(measures, chosen, strict=True) if (m in DISTINCT) is d] for d in (True, False)]
+    tables = [movements.groupBy(*keys).agg(*part) for part in parts if part]
+    if len(tables) < 2:
+        return movements.groupBy(*keys).agg(*chosen)
+    both = tables[0].unionByName(tables[1], allowMissingColumns=True)
+    return both.groupBy(*keys).agg(*[F.max(n).alias(n) for n in (names.get(m, m) for m in measures)])
 
 
 def daily_summary(movements: DataFrame) -> DataFrame:
