@@ -82,3 +82,27 @@ def test_one_class_or_no_rows(labels):
     model = rule_classifier.fit(np.zeros((len(labels), 1)), np.array(labels), ("a",))
     assert model.rules == ()
     assert np.sign(model.intercept) == (0 if not labels else 1 if labels[0] else -1)
+
+
+ODD = [None, "", " ", "\n", " a\n b ", "a a", "aa a", "a a a a", "| | | ", "x | | y | ", "1a a", "ÉÉ ÉÉ É", "ABÉ AB", "İ İ", "a\x1cb\x0bc", "no no\nno", "#$ a## b&&&", "?!? !!"]
+
+
+def test_counts_of_odd_texts(spark):
+    texts = spark.createDataFrame(list(enumerate(ODD)), "doc_id long, text string")
+    own = F.coalesce("text", F.lit(""))
+    plain = {"words": r"[^\x20\x09-\x0D]+", "lines": r"\n", "pipes": r" \| ", "twice": r"\b(\p{L}+) \1\b"}
+    found = rule_classifier.statistics(texts, "text", F.struct("doc_id", "text").alias("row")).select("row.*", "__stat.*")
+    for name, pattern in plain.items():
+        assert found.where(F.col(name) != F.regexp_count(own, F.lit(pattern))).collect() == []
+
+
+def test_only_texts_of_the_fit_are_made_into_numbers(spark):
+    # A text that can't be counted stands for the cost of counting it; texts beyond ``most_rows`` were counted before.
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b "), F.repeat(F.lit("#"), (F.col("id") % 3).cast("int"))).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 > 0).cast("int").alias("quality"))
+    labels = labels.where("doc_id % 2 = 0").union(labels.where("doc_id % 10 = 0"))  # some missing, some twice
+    last = sorted(r[0] for r in labels.select(F.xxhash64("doc_id")).collect())[99]
+    late = docs.withColumn("text", F.when(F.xxhash64("doc_id") > last, F.raise_error(F.lit("counted"))).otherwise(F.col("text")))
+    bounded = rule_classifier.train(late, labels, "doc_id", "text", "quality", most_rows=100)
+    assert bounded.rules and bounded == rule_classifier.train(docs, labels, "doc_id", "text", "quality", most_rows=100)
+    assert rule_classifier.train(docs, labels.limit(0), "doc_id", "text", "quality").rules == ()

@@ -14,34 +14,41 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonflow.llm.common import WORD, fenced
+from tonflow.llm.common import BLANKS, fenced
 
 #: name -> pattern whose matches are counted in the text
 COUNTED = {
-    "words": WORD,
-    "lines": r"\n",
     "symbols": r"[#*$%&|<>{}\[\]\\^~=_+@]",
     "stops": r"[.,;:]",
     "shouts": r"[!?]{2,}",
-    "pipes": r" \| ",
     "decorated": r"\p{L}[#*$%&]{2,}",
     "capital_words": r"\b\p{Lu}{2,}\b",
     "digits": r"\p{Nd}",
     "letters": r"\p{L}+",
-    "twice": r"\b(\p{L}+) \1\b",
+    "twice": r"\b(\p{L}++) \1\b",  # only the whole run of letters can be followed by a blank
 }
+PIPE = " | "
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Raw counts of a text (null: empty); :func:`features` makes ratios of them."""
-    own = F.coalesce(text, F.lit(""))
-    counts = {name: F.regexp_count(own, F.lit(pattern)) for name, pattern in COUNTED.items()}
-    words = F.split(F.lower(own), r"[\x20\x09-\x0D]+", -1)
-    return counts | {
+def statistics(docs: DataFrame, text: str, kept: Column) -> DataFrame:
+    """The column ``kept`` and, as ``__stat``, raw counts of a text (null: empty).
+
+    :func:`features` makes ratios of them.  Each text is split once, below what counts its pieces.
+    """
+    own = F.coalesce(F.col(text), F.lit(""))
+    words = F.split(F.lower(own), rf"[{BLANKS}]+", -1)
+    split = docs.select(kept, own.alias("__own"), words.alias("__words"), F.split(own, "\n", -1).alias("__lines"))
+    own = F.col("__own")
+    pipes = (F.length(own) - F.length(F.replace(own, F.lit(PIPE), F.lit("")))) / len(PIPE)
+    stat = {name: F.regexp_count(own, F.lit(pattern)) for name, pattern in COUNTED.items()} | {
+        "words": F.size(F.array_remove("__words", "")),
+        "lines": F.size("__lines") - 1,
+        "pipes": pipes.cast("int"),
         "chars": F.length(own),
-        "distinct_words": F.size(F.array_distinct(words)),
-        "distinct_lines": F.size(F.array_distinct(F.split(own, "\n", -1))),
+        "distinct_words": F.size(F.array_distinct("__words")),
+        "distinct_lines": F.size(F.array_distinct("__lines")),
     }
+    return split.select(split.columns[0], fenced(F.struct(*[c.alias(n) for n, c in stat.items()])).alias("__stat"))
 
 
 def features(stat: Column) -> dict[str, Column]:
@@ -180,18 +187,21 @@ def train(
 ) -> RuleModel:
     """Fit on the ``most_rows`` labelled documents whose id hashes lowest (all, if fewer).
 
-    Rows with a null label and documents without one are left out.  Texts are made into
-    numbers where they are read, and only numbers meet the labels.  The bound holds what
-    reaches the driver.
+    Rows with a null label and documents without one are left out.  The ids are met with the labels
+    first; only texts up to the last id that fits are made into numbers, where they are read.  The
+    bound holds what reaches the driver.
     """
-    stat = F.struct(*[c.alias(n) for n, c in statistics(F.col(text)).items()])
-    wanted = features(F.col("__stat"))
-    rows = docs.select(F.col(doc_id).alias("__id"), fenced(stat).alias("__stat")).select(
-        "__id", *[c.cast("double").alias(n) for n, c in wanted.items()]
-    )
     marks = labels.where(F.col(label).isNotNull()).select(
         F.col(doc_id).alias("__of"), F.col(label).cast("double").alias("__label")
     )
+    marked = docs.select(F.col(doc_id).alias("__id")).join(marks, F.col("__id") == F.col("__of"))
+    order = marked.select(F.xxhash64("__id").alias("__order")).orderBy("__order").limit(most_rows)
+    last = order.agg(F.max("__order")).first()[0]
+    read = docs.where(F.xxhash64(doc_id) <= F.lit(last).cast("long"))
+    wanted = features(F.col("__stat"))
+    rows = statistics(read, text, F.col(doc_id).alias("__id")).select(
+        "__id", *[c.cast("double").alias(n) for n, c in wanted.items()]
+    )
     sample = (
         rows.join(marks, F.col("__id") == F.col("__of"))
         .select(F.xxhash64("__id").alias("__order"), "__label", *wanted)
@@ -208,7 +218,6 @@ def score_texts(docs: DataFrame, model: RuleModel, text: str = "text", score: st
 
     All columns of ``docs`` stay as they are; a column named as the score is replaced.
     """
-    stat = F.struct(*[c.alias(n) for n, c in statistics(F.col(text)).items()])
     columns = [c for c in docs.columns if c != score]
-    scored = docs.select(F.struct(*columns).alias("__row"), fenced(stat).alias("__stat"))
+    scored = statistics(docs, text, F.struct(*columns).alias("__row"))
     return scored.select("__row.*", fenced(model.score(features(F.col("__stat")))).alias(score))
