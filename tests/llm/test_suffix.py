@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -46,6 +47,21 @@ def run(df, length):
     return {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in rows}
 
 
+def test_memory_of_a_shard_is_bounded():
+    one = np.frombuffer(number_words(0, 12_000).encode(), np.uint8)
+    text = np.r_[one, one[: len(one) // 2], one[::-1]]
+    tracemalloc.start()
+    try:
+        classes = suffix_dedup.equal_windows(text, 200)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # 84 bytes a byte before, of shards twice as large: an executor of 3 GB was stopped.
+    assert peak < 60 * len(text) and suffix_dedup.SHARD * peak < 60e6 * len(text)
+    at = np.arange(len(one) // 2 - 199)
+    assert (classes[at] == classes[at + len(one)]).all() and len(np.unique(classes[at])) == len(at)
+
+
 @pytest.mark.parametrize("shard", [2 << 20, 600])
 def test_same_as_brute_force(spark, monkeypatch, shard):
     monkeypatch.setattr(suffix_dedup, "SHARD", shard)  # small: anchors are split over shards

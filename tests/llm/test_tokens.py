@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -54,6 +55,18 @@ def test_texts_with_edges(edges, none):
     assert byte_pairs.encode_texts(none).count() == 0
 
 
+def test_workers_keep_no_texts(spark, edges):
+    def held(batches):
+        own = byte_pairs.coder(public_tokenizers.path(byte_pairs.VOCABULARY), public_tokenizers.PATTERN)
+        for batch in batches:
+            n = len(own.cache) + len(own.cache.old) + len(own.follows)
+            yield pa.RecordBatch.from_arrays([pa.array([n] * batch.num_rows, pa.int64())], ["n"])
+
+    byte_pairs.encode_texts(edges.repartition(4)).collect()
+    # Workers are used again; what a finished task had remembered stayed with them before.
+    assert spark.range(0, 16, 1, 4).mapInArrow(held, "n long").agg({"n": "max"}).first()[0] == 0
+
+
 def best_count(piece, scores):
     best = [(0.0, 0)] + [(-math.inf, 0)] * len(piece)
     for n in range(1, len(piece) + 1):

@@ -158,6 +158,12 @@ class BytePairs:
                 token = self.shorter[last]
         return tokens
 
+    def forget(self) -> None:
+        """Free what has been remembered of texts, some 50 MB; it is found again when needed."""
+        self.cache.clear()
+        self.cache.old = {}
+        self.follows.clear()
+
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.cache.__getitem__, self.cut.findall(text)))
@@ -207,15 +213,18 @@ def encode_texts(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(public_tokenizers.path(vocabulary), pattern)
-        for batch in pieces(batches, "__text"):
-            packed = [own.encode(x) for x in batch.column(len(carry)).to_pylist()]
-            columns = [batch.column(i) for i in range(len(carry))]
-            columns += [pa.array([len(x) // 4 for x in packed], pa.int64()), pa.array(packed, pa.binary())]
-            names = [*carry, "n_tokens", "token_ids"]
-            if decoded:
-                columns.append(pa.array([own.decode(x) for x in packed], pa.binary()))
-                names.append("decoded")
-            yield pa.RecordBatch.from_arrays(columns, names)
+        try:
+            for batch in pieces(batches, "__text"):
+                packed = [own.encode(x) for x in batch.column(len(carry)).to_pylist()]
+                columns = [batch.column(i) for i in range(len(carry))]
+                columns += [pa.array([len(x) // 4 for x in packed], pa.int64()), pa.array(packed, pa.binary())]
+                names = [*carry, "n_tokens", "token_ids"]
+                if decoded:
+                    columns.append(pa.array([own.decode(x) for x in packed], pa.binary()))
+                    names.append("decoded")
+                yield pa.RecordBatch.from_arrays(columns, names)
+        finally:
+            own.forget()  # Spark keeps the worker for later tasks, also those of other stages
 
     own_text = F.coalesce(F.col(text), F.lit("")).alias("__text")
     return docs.select(*carry, own_text).mapInArrow(encode, schema)

@@ -34,7 +34,7 @@ from tonflow.llm.common import code_on_workers, pieces, stored
 
 ANCHOR = 32
 #: Bytes of contexts in a shard.
-SHARD = 2 << 20
+SHARD = 1 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _PLACE = np.uint64((1 << 24) - 1)
 #: Longer texts are searched in pieces that overlap by a window.
@@ -110,33 +110,51 @@ def anchors(text: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Starts of all suffixes of an array of bytes in the order of the suffixes."""
     n = len(text)
+    kind = _place_kind(n)
     if n == 0:
-        return np.empty(0, np.int64)
-    key = np.r_[text, np.zeros(8, np.uint8)].astype(np.uint64)
-    for step in (1, 2, 4):
-        key = (key[:-step] << np.uint64(8 * step)) | key[step:]
-    key = key[:n]
-    order = np.argsort(key, kind="stable")
-    new = np.r_[True, np.diff(key[order]) != 0]
-    rank = np.full(n + 1, -1, np.int64)
-    group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank[order] = group
-    tied = _tied(new)
+        return np.empty(0, kind)
+    key = _words(text)[:n]
+    order = np.argsort(key, kind="stable").astype(kind)
+    key = key[order]
+    new = np.r_[True, key[1:] != key[:-1]]
+    del key
+    rank = np.full(n + 1, -1, kind)
+    rank[order] = np.maximum.accumulate(np.arange(n, dtype=kind) * new)
+    tied = _tied(new).astype(kind)
     # a key does not tell the end from zero bytes; where that matters, steps of one byte do
     h = 1 if n < 8 or (text[-8:] == 0).any() else 8
     while len(tied):
         suffix = order[tied]
-        pair = rank[suffix] * (n + 1) + rank[np.minimum(suffix + h, n)] + 1
-        by = np.argsort(pair, kind="stable")
+        pair = rank[suffix].astype(np.int64)
+        pair *= n + 1
+        pair += rank[np.minimum(suffix + h, n)]
+        by = np.argsort(pair, kind="stable").astype(kind)
         suffix, pair = suffix[by], pair[by]
         order[tied] = suffix
-        new = np.r_[True, np.diff(pair) != 0]
-        rank[suffix] = tied[np.maximum.accumulate(np.where(new, np.arange(len(tied)), 0))]
+        new = np.r_[True, pair[1:] != pair[:-1]]
+        del pair, by
+        rank[suffix] = tied[np.maximum.accumulate(np.arange(len(tied), dtype=kind) * new)]
         tied = tied[_tied(new)]
         h *= 2
     return order
 
 
+def _place_kind(n: int) -> type:
+    """Four bytes a place wherever they do: the arrays of a shard are most of what a worker holds."""
+    return np.int32 if n < 1 << 29 else np.int64
+
+
+def _words(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, and from the end, as one number; zeros follow the end."""
+    word = np.zeros(len(text) + 8, np.uint64)
+    word[: len(text)] = text
+    for step in (1, 2, 4):
+        later = word[step:].copy()
+        word <<= np.uint64(8 * step)
+        word[:-step] |= later
+    return word[: len(text) + 1]
+
+
 def _tied(new: np.ndarray) -> np.ndarray:
     """Places of groups of two or more, given where groups begin."""
     return np.flatnonzero(~(new & np.r_[new[1:], True]))
@@ -150,30 +168,29 @@ def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     compared.
     """
     n = len(text)
-    before = np.full(n, -1, np.int64)
+    kind = _place_kind(n)
+    before = np.full(n, -1, kind)
     before[order[1:]] = order[:-1]
-    starts = np.arange(n)
+    starts = np.arange(n, dtype=kind)
     follows = (starts > 0) & (before > 0)
     follows[follows] = text[starts[follows] - 1] == text[before[follows] - 1]
-    heads = np.flatnonzero(~follows & (before >= 0))
-    padded = np.r_[text, np.zeros(8, np.uint8)].astype(np.uint64)
-    for step in (1, 2, 4):
-        padded = (padded[:-step] << np.uint64(8 * step)) | padded[step:]
-    word = padded  # n + 1 words; the last is zero
-    length = np.zeros(n, np.int64)
+    heads = np.flatnonzero(~follows & (before >= 0)).astype(kind)
+    word = _words(text)  # n + 1 words; the last is zero
+    length = np.zeros(n, kind)
     a, b, at = heads.copy(), before[heads].copy(), heads
     while len(a):
         differ = word[np.minimum(a, n)] ^ word[np.minimum(b, n)]
         room = n - np.maximum(a, b)
-        same, some = np.full(len(a), 8), differ != 0
+        same, some = np.full(len(a), 8, kind), differ != 0
         same[some] = _leading_bytes(differ[some])
         same = np.minimum(same, room)
         length[at] += same
         on = same == 8
         a, b, at = a[on] + 8, b[on] + 8, at[on]
-    chain = np.maximum.accumulate(np.where(follows, 0, starts))
+    del word, before
+    chain = np.maximum.accumulate(starts * ~follows)
     length = np.where(follows, length[chain] - (starts - chain), length)
-    return np.r_[0, length[order[1:]]] if n else length
+    return length[order]  # the first has none before it and keeps 0
 
 
 def _leading_bytes(x: np.ndarray) -> np.ndarray:
@@ -186,8 +203,8 @@ def _leading_bytes(x: np.ndarray) -> np.ndarray:
 def equal_windows(text: np.ndarray, length: int) -> np.ndarray:
     """A class for each place such that equal windows, and only these, have the same class."""
     order = suffix_array(text)
-    classes = np.empty(len(text), np.int64)
-    classes[order] = np.cumsum(common_prefixes(text, order) < length)
+    classes = np.empty_like(order)
+    classes[order] = np.cumsum(common_prefixes(text, order) < length, dtype=order.dtype)
     return classes
 
 
@@ -284,11 +301,12 @@ def _search_shard(rows: pa.Table, length: int) -> pa.Table:
     times = np.minimum(np.array(rows["times"].to_pylist(), np.int64), 2)
     text = np.frombuffer(b"".join(bodies), np.uint8)
     begin = np.r_[0, np.cumsum([len(b) for b in bodies])[:-1]]
+    classes = equal_windows(text, length)
     # A shard has far fewer than 2**31 bytes.
     owner = np.repeat(np.arange(len(bodies), dtype=np.int32), windows)
     place = np.arange(len(owner), dtype=np.int32) - np.repeat((np.cumsum(windows) - windows).astype(np.int32), windows)
     at = begin.astype(np.int32)[owner] + place
-    classes = equal_windows(text, length)[at]
+    classes = classes[at]
     found = np.bincount(classes, weights=times[owner], minlength=1)
     # of a context that stands twice all windows are repeated, which needs no search
     who, lo, hi = _runs((found[classes] > 1) & (times[owner] == 1), owner, place)
